@@ -320,3 +320,105 @@ def pages_cte(with_defects: bool = False, name: str = "pages") -> str:
 
 def requested_apps_cte(pages: str = "pages", name: str = "requested") -> str:
     return f"""{name} as (select distinct app_id from {pages} union select '{EMPTY_APP_ID}' as app_id)"""
+
+
+# ------------------------------------------------------------- ingest side
+
+
+def admitted_ctes(pages: str = "pages", name: str = "admitted", max_pages: int | None = None,
+                  resume: str | None = None) -> str:
+    """Page gates, stops, cap and resume over ``pages`` -> admitted pages."""
+    start = "coalesce(rs.resume_page, 1)" if resume else "1"
+    join_resume = f"left join {resume} rs using (app_id)" if resume else ""
+    cap = f"and page <= greatest({int(max_pages)}, start_page)" if max_pages is not None else ""
+    return f"""{name}_env as (
+    select p.app_id, p.page, p.cursor, p.fetched_at, p.body, {start} as start_page,
+        coalesce(try_cast(p.body ->> 'success' as double) = 1 or lower(p.body ->> 'success') = 'true', false) as success_ok,
+        p.body ->> 'cursor' as next_cursor,
+        json_array_length(p.body, '$.reviews') as n_reviews
+    from {pages} p {join_resume}),
+{name}_live as (select * from {name}_env where page >= start_page),
+{name}_stops as (
+    select app_id,
+        min(case when not success_ok or coalesce(n_reviews, 0) = 0 then page end) as stop_bad,
+        min(case when next_cursor is null or next_cursor = '' or next_cursor = cursor then page end) as stop_chain
+    from {name}_live group by app_id),
+{name} as (
+    select l.* from {name}_live l join {name}_stops s using (app_id)
+    where (stop_bad is null or page < stop_bad) and (stop_chain is null or page <= stop_chain) {cap})"""
+
+
+def exploded_cte(src: str = "admitted", name: str = "yielded") -> str:
+    """One row per review with its landed payload (review + fetch metadata)."""
+    return f"""{name}_x as (
+    select app_id, page, cursor, fetched_at,
+        unnest(list_transform(from_json(json_extract(body, '$.reviews'), '["JSON"]'), lambda r, i: {{'r': r, 'i': i}})) as x
+    from {src}),
+{name} as (
+    select app_id, page, cast(x.i - 1 as integer) as pos, cursor, fetched_at, cast(x.r as varchar) as review,
+        regexp_replace(cast(x.r as varchar), '\\}}\\s*$', '')
+        || case when regexp_matches(cast(x.r as varchar), '^\\s*\\{{\\s*\\}}\\s*$') then '' else ',' end
+        || '"app_id":' || coalesce(cast(to_json(app_id) as varchar), 'null')
+        || ',"page":' || coalesce(cast(page as varchar), 'null')
+        || ',"cursor":' || coalesce(cast(to_json(cursor) as varchar), 'null')
+        || ',"fetched_at":' || coalesce(cast(to_json(fetched_at) as varchar), 'null') || '}}' as payload
+    from {name}_x)"""
+
+
+def _jt(path: str) -> str:
+    return f"json_type(review, '{path}')"
+
+
+def _jint_ok(path: str) -> str:
+    t = _jt(path)
+    return (f"({t} in ('BIGINT', 'UBIGINT', 'HUGEINT') or ({t} = 'DOUBLE' and "
+            f"cast(json_extract(review, '{path}') as double) = floor(cast(json_extract(review, '{path}') as double))))")
+
+
+def _type_ok_sql(path: str, kind: str) -> str:
+    t = _jt(path)
+    if kind == "string":
+        return f"({t} = 'VARCHAR')"
+    if kind == "boolean":
+        return f"({t} = 'BOOLEAN')"
+    if kind == "object":
+        return f"({t} = 'OBJECT')"
+    if kind == "string|number":
+        return f"({t} in ('VARCHAR', 'BIGINT', 'UBIGINT', 'HUGEINT', 'DOUBLE'))"
+    return _jint_ok(path)
+
+
+def _rules_sql(prefix: str, required, types) -> list[str]:
+    out = []
+    for key in required:
+        out.append(f"case when {_jt('$.' + prefix + key)} is null then 'required:{prefix}{key}' end")
+    for key, kind in types:
+        path = f"$.{prefix}{key}"
+        present = f"{_jt(path)} is not null"
+        ok = _type_ok_sql(path, kind)
+        out.append(f"case when {present} and not {ok} then 'type:{prefix}{key}' end")
+        if kind.startswith("integer>="):
+            lo = float(kind.split(">=")[1])
+            out.append(f"case when {present} and {ok} and cast(json_extract(review, '{path}') as double) < {lo} "
+                       f"then 'minimum:{prefix}{key}' end")
+    return out
+
+
+def violations_sql() -> str:
+    from ..functions.contract import (
+        AUTHOR_PROPERTY_TYPES,
+        AUTHOR_REQUIRED_KEYS,
+        PROPERTY_TYPES,
+        REQUIRED_KEYS,
+    )
+
+    top = ", ".join(_rules_sql("", REQUIRED_KEYS, PROPERTY_TYPES))
+    author = ", ".join(_rules_sql("author.", AUTHOR_REQUIRED_KEYS, AUTHOR_PROPERTY_TYPES))
+    return (f"(case when json_type(review) = 'OBJECT' then concat_ws(',', {top}, "
+            f"case when {_jt('$.author')} = 'OBJECT' then nullif(concat_ws(',', {author}), '') end) "
+            f"else 'type:$' end)")
+
+
+def review_fields_sql() -> str:
+    return ("review ->> 'recommendationid' as recommendationid, "
+            "make_timestamp(try_cast(json_extract(review, '$.timestamp_updated') as bigint) * 1000000) as updated_at")

@@ -182,3 +182,127 @@ def q_adaptive_metrics_tuned(spark, sf_dir):
 @register("adaptive_metrics_backfill", _gold_sql("base", BACKFILL_PARAMS))
 def q_adaptive_metrics_backfill(spark, sf_dir):
     return round_doubles(gold(spark, sf_dir, "base", BACKFILL_PARAMS))
+
+
+# ------------------------------------------------------------- ingest side
+
+import datetime as _dt  # noqa: E402
+
+from ..operators import ingest as ING  # noqa: E402
+from ..operators import pages as PG  # noqa: E402
+
+# The run start of the registered ingest runs and their caps.
+RUN_TS = _dt.datetime(2024, 2, 1, 6, 0, 0)
+RUN_LOAD_ID = ING.load_id_for(RUN_TS)
+FIRST_RUN_MAX_PAGES = 3
+SECOND_RUN_MAX_PAGES = 7
+FILTER_LANGUAGE = "english"
+
+
+def pages(spark: SparkSession, sf_dir: str, with_defects: bool = False) -> DataFrame:
+    _prep(spark)
+    return fixtures.page_envelopes(spark, sf_dir, with_defects)
+
+
+def _yielded(spark, sf_dir, with_defects=False, max_pages=None, resume=None):
+    pg = pages(spark, sf_dir, with_defects)
+    return pg, PG.explode_reviews(PG.admit_pages(pg, max_pages, resume))
+
+
+_PAGES = [O.pages_cte(False)]
+_PAGES_DEFECTS = [O.pages_cte(True)]
+
+
+@register(
+    "page_explode",
+    _with(*_PAGES, O.admitted_ctes(), O.exploded_cte())
+    + "select app_id, page, pos, cursor, fetched_at, payload from yielded",
+)
+def q_page_explode(spark, sf_dir):
+    _, y = _yielded(spark, sf_dir)
+    return y.select("app_id", "page", "pos", "cursor", "fetched_at", "payload")
+
+
+@register(
+    "page_cap_resume",
+    _with(
+        *_PAGES,
+        O.admitted_ctes(name="run1", max_pages=FIRST_RUN_MAX_PAGES),
+        O.exploded_cte(src="run1", name="run1_y"),
+        """run1_wm as (select app_id, arg_max(cursor, page * 1000000 + pos) filter (where cursor is not null and cursor <> '') as cursor
+    from run1_y group by app_id),
+resume as (select p.app_id, min(p.page) as resume_page from pages p join run1_wm w on p.app_id = w.app_id and p.cursor = w.cursor group by p.app_id)""",
+        O.admitted_ctes(name="run2", max_pages=SECOND_RUN_MAX_PAGES, resume="resume"),
+    )
+    + "select app_id, page, cursor, cast(n_reviews as bigint) as n_reviews from run2",
+)
+def q_page_cap_resume(spark, sf_dir):
+    pg = pages(spark, sf_dir)
+    requested = fixtures.requested_apps(pg)
+    run1 = ING.ingest(pg, requested, RUN_TS, ING.RunOptions(max_pages=FIRST_RUN_MAX_PAGES, validate=False))
+    resume = ING.resume_points(run1.watermarks, pg)
+    run2 = PG.admit_pages(pg, SECOND_RUN_MAX_PAGES, resume)
+    return run2.select("app_id", "page", "cursor", F.size("reviews").cast("long").alias("n_reviews"))
+
+
+@register(
+    "source_filters",
+    _with(*_PAGES, O.admitted_ctes(), O.exploded_cte())
+    + f"select app_id, page, pos, review ->> 'recommendationid' as recommendationid from yielded "
+    f"where review ->> 'language' = '{FILTER_LANGUAGE}' and review ->> 'voted_up' = 'true' "
+    "and review ->> 'steam_purchase' = 'true'",
+)
+def q_source_filters(spark, sf_dir):
+    _, y = _yielded(spark, sf_dir)
+    f = PG.filter_reviews(y, FILTER_LANGUAGE, "positive", "steam")
+    return PG.review_fields(f).select("app_id", "page", "pos", "recommendationid")
+
+
+@register(
+    "contract_check",
+    _with(*_PAGES_DEFECTS, O.admitted_ctes(), O.exploded_cte())
+    + f"select app_id, page, pos, {O.violations_sql()} as violations, "
+    f"{O.violations_sql()} = '' as valid from yielded",
+)
+def q_contract_check(spark, sf_dir):
+    _, y = _yielded(spark, sf_dir, with_defects=True)
+    c = ING.with_violations(y)
+    return c.select("app_id", "page", "pos", "violations", (F.col("violations") == F.lit("")).alias("valid"))
+
+
+@register(
+    "ledger_rows",
+    _with(*_PAGES, O.admitted_ctes(), O.exploded_cte())
+    + f"""select app_id as appid, recommendationid, updated_at,
+    TIMESTAMP '{RUN_TS.isoformat(sep=' ')}' as ingested_at, '{RUN_LOAD_ID}' as load_id, cursor, payload,
+    sha256(payload) as payload_sha
+from (select *, {O.review_fields_sql()} from yielded) where app_id is not null and recommendationid is not null""",
+)
+def q_ledger_rows(spark, sf_dir):
+    pg = pages(spark, sf_dir)
+    run = ING.ingest(pg, fixtures.requested_apps(pg), RUN_TS, ING.RunOptions(validate=False))
+    return run.ledger.drop("hash_payload").withColumn("payload_sha", F.sha2(F.col("payload"), 256))
+
+
+@register("payload_hash")
+def q_payload_hash(spark, sf_dir):
+    pg = pages(spark, sf_dir)
+    run = ING.ingest(pg, fixtures.requested_apps(pg), RUN_TS, ING.RunOptions(validate=False))
+    return run.ledger.select("appid", "recommendationid", "hash_payload")
+
+
+@register(
+    "load_watermarks",
+    _with(*_PAGES, O.admitted_ctes(), O.exploded_cte(), O.requested_apps_cte())
+    + f"""select r.app_id as appid, '{RUN_LOAD_ID}' as load_id, w.cursor, w.max_updated_at,
+    TIMESTAMP '{RUN_TS.isoformat(sep=' ')}' as recorded_at, coalesce(w.review_count, 0)::bigint as review_count
+from requested r left join (
+    select app_id, arg_max(cursor, page * 1000000 + pos) filter (where cursor is not null and cursor <> '') as cursor,
+        max(updated_at) as max_updated_at, count(*) as review_count
+    from (select *, {O.review_fields_sql()} from yielded where {O.violations_sql()} = '') group by app_id
+) w using (app_id)""",
+)
+def q_load_watermarks(spark, sf_dir):
+    pg = pages(spark, sf_dir)
+    run = ING.ingest(pg, fixtures.requested_apps(pg), RUN_TS)
+    return run.watermarks
