@@ -306,3 +306,235 @@ def q_load_watermarks(spark, sf_dir):
     pg = pages(spark, sf_dir)
     run = ING.ingest(pg, fixtures.requested_apps(pg), RUN_TS)
     return run.watermarks
+
+
+# ------------------------------------------------------------ metric layer
+
+from ..operators import quality as DQ  # noqa: E402
+from ..operators import semantic as SEM  # noqa: E402
+
+_METRICS = ["avg_rating", "edp_current", "decay_ewrr", "cult_score", "total_reviews"]
+_GOLD_BASE = [O.ledger_cte("base"), O.compacted_cte(), O.enriched_cte(), O.gold_ctes(BASE_PARAMS)]
+_METRIC_SELECT = ("round(avg(avg_rating), 6) as avg_rating, round(avg(edp_current), 6) as edp_current, "
+                  "round(avg(decay_ewrr), 6) as decay_ewrr, round(avg(cult_score), 6) as cult_score, "
+                  "max(total_reviews) as total_reviews")
+
+
+def _metric_query(group_by):
+    def fn(spark, sf_dir):
+        g = gold(spark, sf_dir, "base", BASE_PARAMS)
+        return round_doubles(SEM.query_metrics(g, _METRICS, group_by))
+
+    return fn
+
+
+register("metric_by_app", _with(*_GOLD_BASE) + f"select app_id, {_METRIC_SELECT} from gold group by app_id")(
+    _metric_query(["app_id"])
+)
+register(
+    "metric_by_day", _with(*_GOLD_BASE) + f"select snapshot_date, {_METRIC_SELECT} from gold group by snapshot_date"
+)(_metric_query(["snapshot_date"]))
+register(
+    "metric_by_month",
+    _with(*_GOLD_BASE)
+    + f"select cast(date_trunc('month', snapshot_date) as timestamp) as snapshot_date__month, {_METRIC_SELECT} "
+    "from gold group by 1",
+)(_metric_query(["snapshot_date__month"]))
+register("metric_total", _with(*_GOLD_BASE) + f"select {_METRIC_SELECT} from gold")(_metric_query([]))
+
+
+# ------------------------------------------------------------ quality checks
+
+
+def _dq(test: str):
+    def fn(spark, sf_dir):
+        raw = ledger(spark, sf_dir)
+        comp = compaction.compact_latest(raw)
+        s = enrich.enrich(comp)
+        g = gold(spark, sf_dir, "base", BASE_PARAMS)
+        checks = [c for c in DQ.CHECKS if c.test == test]
+        tables = {
+            "steam_reviews_raw": raw,
+            "steam_reviews_raw_compacted": comp,
+            "steam_reviews_enriched": s,
+            "fct_steam_review_metrics_adaptive": g,
+        }
+        return DQ.run_checks({m: t for m, t in tables.items() if any(c.model == m for c in checks)}, checks)
+
+    return fn
+
+
+_MODEL_CTE = {
+    "steam_reviews_raw": "ledger",
+    "steam_reviews_raw_compacted": "compacted",
+    "steam_reviews_enriched": "silver",
+    "fct_steam_review_metrics_adaptive": "gold",
+}
+
+
+def _dq_sql(test: str) -> str:
+    parts = []
+    for c in DQ.CHECKS:
+        if c.test != test:
+            continue
+        t = _MODEL_CTE[c.model]
+        if test == "not_null":
+            cnt = f"(select count(*) from {t} where {c.column} is null)"
+        elif test == "unique":
+            cnt = (f"(select count(*) from (select {c.column} from {t} where {c.column} is not null "
+                   f"group by {c.column} having count(*) > 1))")
+        else:
+            cnt = (f"(select count(*) from {t} where not ({c.column} >= {c.min_value} "
+                   f"and {c.column} <= {c.max_value}))")
+        parts.append(f"select '{c.model}' as model, '{c.column}' as column_name, '{c.test}' as test_name, "
+                     f"cast({cnt} as bigint) as failures")
+    return _with(*_GOLD_BASE) + "\nunion all\n".join(parts)
+
+
+for _t in ("not_null", "unique", "accepted_range"):
+    _key = {"not_null": "dq_not_null", "unique": "dq_unique", "accepted_range": "dq_range"}[_t]
+    register(_key, _dq_sql(_t))(_dq(_t))
+
+
+# -------------------------------------------------------------- indicators
+
+from ..operators import indicators as K  # noqa: E402
+from ..sources import ledger as ST  # noqa: E402
+
+FRESHNESS_AS_OF = "1997-01-03 09:00:00"
+
+
+@register(
+    "freshness",
+    _with(O.ledger_cte("base"))
+    + f"""select appid, max(ingested_at) as last_landed_at,
+    round((epoch_us(TIMESTAMP '{FRESHNESS_AS_OF}') - epoch_us(max(ingested_at))) / 86400000000.0 * 1440.0, 6) as lag_minutes
+from ledger group by appid""",
+)
+def q_freshness(spark, sf_dir):
+    return round_doubles(K.freshness(ledger(spark, sf_dir), FRESHNESS_AS_OF))
+
+
+@register(
+    "completeness",
+    _with(*_PAGES, O.admitted_ctes(), O.exploded_cte())
+    + f"""select e.appid, e.day, coalesce(g.n, 0)::bigint as pages_ingested, e.n::bigint as pages_expected,
+    round(coalesce(g.n, 0) / e.n, 6) as completeness
+from (select app_id as appid, cast(try_cast(fetched_at as timestamp) as date) as day, count(distinct page) as n
+      from pages group by 1, 2) e
+left join (select app_id as appid, cast(TIMESTAMP '{RUN_TS.isoformat(sep=' ')}' as date) as day, count(distinct page) as n
+      from (select *, {O.review_fields_sql()} from yielded) where recommendationid is not null group by 1, 2) g
+  using (appid, day)""",
+)
+def q_completeness(spark, sf_dir):
+    pg = pages(spark, sf_dir)
+    run = ING.ingest(pg, fixtures.requested_apps(pg), RUN_TS, ING.RunOptions(validate=False))
+    return round_doubles(K.completeness(run.ledger, pg))
+
+
+@register(
+    "late_rate",
+    _with(O.ledger_cte("base"), O.enriched_cte(src="ledger"))
+    + """select bronze_load_id, count(*) as reviews,
+    round(avg(case when (epoch_us(bronze_ingested_at) - epoch_us(review_created_at)) / 86400000000.0 > 7.0
+              then 1.0 else 0.0 end), 6) as late_rate
+from silver where review_created_at is not null group by bronze_load_id""",
+)
+def q_late_rate(spark, sf_dir):
+    return round_doubles(K.late_rate(enrich.enrich(ledger(spark, sf_dir))))
+
+
+@register(
+    "dup_rate",
+    _with(O.ledger_cte("base"))
+    + """select load_id, sum(n)::bigint as rows, count(*)::bigint as distinct_keys,
+    round(1.0 - count(*) / sum(n), 6) as dup_rate
+from (select load_id, appid, recommendationid, count(*) as n from ledger group by 1, 2, 3) group by load_id""",
+)
+def q_dup_rate(spark, sf_dir):
+    return round_doubles(K.dup_rate(ledger(spark, sf_dir)))
+
+
+def _drift_sql() -> str:
+    from ..functions.contract import AUTHOR_PROPERTY_TYPES, CONTRACT_KEYS
+
+    top = ", ".join(f"'{k}'" for k in CONTRACT_KEYS)
+    auth = ", ".join(f"'{k}'" for k, _ in AUTHOR_PROPERTY_TYPES)
+    return _with(O.ledger_cte("base")) + f"""select load_id, scope, drift_key, count(*)::bigint as rows from (
+    select load_id, '$' as scope, unnest(json_keys(payload)) as drift_key from ledger
+    union all
+    select load_id, '$.author' as scope, unnest(json_keys(payload, '$.author')) as drift_key from ledger
+        where json_type(payload, '$.author') = 'OBJECT'
+) where (scope = '$' and drift_key not in ({top})) or (scope = '$.author' and drift_key not in ({auth}))
+group by 1, 2, 3"""
+
+
+@register("drift_keys", _drift_sql())
+def q_drift_keys(spark, sf_dir):
+    return K.drift_keys(ledger(spark, sf_dir))
+
+
+_UPSERT_OUT = ["app_id", "recommendationid", "review_updated_at", "voted_up", "bronze_load_id"]
+
+
+@register(
+    "incremental_upsert",
+    _with(
+        O.ledger_cte("base"),
+        "l1 as (select * from ledger where load_id = 'L1')",
+        "l2 as (select * from ledger where load_id = 'L2')",
+        O.compacted_cte(src="l1", name="l1c"),
+        O.enriched_cte(src="l1c", name="existing"),
+        O.enriched_cte(src="l2", name="batch"),
+        """wm as (select max(greatest(review_created_at, review_updated_at)) as wm from existing)""",
+        """incoming as (select * from (select *, row_number() over (partition by app_id, recommendationid
+            order by record_changed_at desc nulls last, bronze_ingested_at desc nulls last,
+                     bronze_load_id desc nulls last, bronze_hash_payload desc nulls last) as rn
+        from batch where greatest(review_created_at, review_updated_at) > (select wm from wm)) where rn = 1)""",
+    )
+    + f"""select {', '.join(_UPSERT_OUT)} from existing e
+where not exists (select 1 from incoming i where i.app_id = e.app_id and i.recommendationid = e.recommendationid)
+union all select {', '.join(_UPSERT_OUT)} from incoming""",
+)
+def q_incremental_upsert(spark, sf_dir):
+    raw = ledger(spark, sf_dir)
+    existing = enrich.enrich(compaction.compact_latest(raw.filter(F.col("load_id") == "L1")))
+    batch = enrich.enrich(raw.filter(F.col("load_id") == "L2"))
+    return K.incremental_upsert(existing, batch).select(*_UPSERT_OUT)
+
+
+# ----------------------------------------------------------------- storage
+
+SCHEMA_V2_TAG = "v2"
+
+
+@register(
+    "schema_evolution_append",
+    _with(O.ledger_cte("base"))
+    + f"""select * from (select appid, recommendationid, updated_at, ingested_at, load_id, hash_payload, cursor, payload
+    from ledger where load_id = 'L1')
+union all by name
+select appid, recommendationid, updated_at, ingested_at, load_id, hash_payload, payload, '{SCHEMA_V2_TAG}' as source_version
+from ledger where load_id = 'L2'""",
+)
+def q_schema_evolution_append(spark, sf_dir):
+    raw = ledger(spark, sf_dir)
+    old = raw.filter(F.col("load_id") == "L1")
+    new = raw.filter(F.col("load_id") == "L2").drop("cursor").withColumn("source_version", F.lit(SCHEMA_V2_TAG))
+    return ST.append_new_columns(old, new)
+
+
+@register(
+    "landing_roundtrip",
+    _with(*_PAGES, O.admitted_ctes(), O.exploded_cte())
+    + f"select payload, app_id, '{RUN_LOAD_ID}' as load_id from yielded",
+)
+def q_landing_roundtrip(spark, sf_dir):
+    """Write one run's landing files to the shared checkpoint folder and read them back."""
+    import uuid
+
+    pg = pages(spark, sf_dir)
+    run = ING.ingest(pg, fixtures.requested_apps(pg), RUN_TS, ING.RunOptions(validate=False))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+    ST.write_landing(run.reviews, path, RUN_LOAD_ID)
+    return ST.read_landing(spark, path)

@@ -79,6 +79,7 @@ def _ledger_rows(li: DataFrame, v: LedgerVariant, load: int) -> DataFrame:
     recid = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     author = F.when(ln == 4, F.lit("5")).otherwise(
         _obj(
+            F.when(ln == 6, _kv("deck_playtime_at_review", F.lit("0"))).otherwise(F.lit("")),
             _kv("last_played", _txt(created_epoch - F.lit(86400))),
             _kv("num_games_owned", _txt(F.col("l_suppkey") % 50)),
             _kv("num_reviews", _txt(F.col("l_quantity"))),
@@ -102,6 +103,7 @@ def _ledger_rows(li: DataFrame, v: LedgerVariant, load: int) -> DataFrame:
         _kv("language", json_string_text(language)),
         _kv("page", _txt(ln)),
         _kv("playtime_at_review", _txt(F.col("l_partkey") % 1000)),
+        F.when(ln == 6, _kv("primarily_steam_deck", F.lit("false"))).otherwise(F.lit("")),
         _kv("received_for_free", json_bool_text(F.col("l_orderkey") % 7 == 0)),
         _kv("recommendationid", json_string_text(recid)),
         _kv("review", json_string_text(F.concat(F.lit("line "), F.col("l_returnflag"), F.col("l_linestatus")))),
