@@ -106,7 +106,13 @@ def parse_payload_text(payload: str = "payload"):
 
 
 def enrich(compacted: DataFrame) -> DataFrame:
-    """Compacted ledger -> the 31-column silver table."""
+    """Compacted ledger -> the 31-column silver table.
+
+    Three projections: parse the payload once, convert the three epoch
+    fields once, then type and rename. (Filters on silver columns should run
+    over a written or checkpointed silver: Catalyst pushes a filter below the
+    projections by re-inlining the parse into the predicate.)
+    """
     p = F.col("_p")
     a = F.col("_p.author")
 
@@ -116,10 +122,15 @@ def enrich(compacted: DataFrame) -> DataFrame:
     def count(c):
         return F.coalesce(text_to_int(c), F.lit(0))
 
-    created = epoch_to_timestamp(text_to_double(p["timestamp_created"]))
-    updated_payload = epoch_to_timestamp(text_to_double(p["timestamp_updated"]))
-    last_played = text_to_double(a["last_played"])
-    return compacted.withColumn("_p", parse_payload_text()).select(
+    parsed = compacted.withColumn("_p", parse_payload_text())
+    epochs = parsed.select(
+        "*",
+        epoch_to_timestamp(text_to_double(p["timestamp_created"])).alias("_created"),
+        epoch_to_timestamp(text_to_double(p["timestamp_updated"])).alias("_updated"),
+        text_to_double(a["last_played"]).alias("_last_played"),
+    )
+    created, updated_payload, last_played = F.col("_created"), F.col("_updated"), F.col("_last_played")
+    return epochs.select(
         F.col("recommendationid"),
         F.col("appid").alias("app_id"),
         p["language"].alias("review_language"),

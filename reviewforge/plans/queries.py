@@ -72,10 +72,9 @@ def gold(spark: SparkSession, sf_dir: str, variant: str, params: DecayParams) ->
     checkpointed once so the two aggregation passes do not each recompute
     the compaction window."""
     s = silver(spark, sf_dir, variant)
-    reviews = metrics.eligible_reviews(s)
     checkpoint_dir(spark)
-    reviews = reviews.checkpoint(eager=True)
-    return metrics.adaptive_metrics(reviews, params)
+    narrow = s.select(*metrics.GOLD_INPUT_COLUMNS).checkpoint(eager=True)
+    return metrics.adaptive_metrics(narrow, params)
 
 
 def _with(*ctes: str) -> str:
@@ -498,8 +497,11 @@ union all select {', '.join(_UPSERT_OUT)} from incoming""",
 )
 def q_incremental_upsert(spark, sf_dir):
     raw = ledger(spark, sf_dir)
-    existing = enrich.enrich(compaction.compact_latest(raw.filter(F.col("load_id") == "L1")))
-    batch = enrich.enrich(raw.filter(F.col("load_id") == "L2"))
+    checkpoint_dir(spark)
+    # the stored table and the staged batch are materialized, as they would be
+    # on disk, so filters run over columns rather than re-parsing payloads
+    existing = enrich.enrich(compaction.compact_latest(raw.filter(F.col("load_id") == "L1"))).checkpoint(eager=True)
+    batch = enrich.enrich(raw.filter(F.col("load_id") == "L2")).checkpoint(eager=True)
     return K.incremental_upsert(existing, batch).select(*_UPSERT_OUT)
 
 

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.casts import json_bool_text, json_string_text, timestamp_to_epoch_seconds
+from ..functions.casts import json_bool_text, timestamp_to_epoch_seconds
 from ..operators.sequence import number_within
 
 
@@ -53,9 +53,13 @@ def _kv(key: str, value: Column) -> Column:
 
 
 def _obj(*pairs: Column) -> Column:
-    """JSON object text from ``_kv`` pieces; an empty-string piece is skipped."""
-    parts = F.array_compact(F.array(*[F.when(p != F.lit(""), p) for p in pairs]))
-    return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
+    """JSON object text from ``_kv`` pieces; a NULL piece (absent key) is skipped."""
+    return F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
+
+
+def _q(c: Column) -> Column:
+    """JSON string literal of text known to need no escaping (digits, ASCII words)."""
+    return F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
 
 
 def _txt(c: Column) -> Column:
@@ -79,13 +83,13 @@ def _ledger_rows(li: DataFrame, v: LedgerVariant, load: int) -> DataFrame:
     recid = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     author = F.when(ln == 4, F.lit("5")).otherwise(
         _obj(
-            F.when(ln == 6, _kv("deck_playtime_at_review", F.lit("0"))).otherwise(F.lit("")),
+            F.when(ln == 6, _kv("deck_playtime_at_review", F.lit("0"))),
             _kv("last_played", _txt(created_epoch - F.lit(86400))),
             _kv("num_games_owned", _txt(F.col("l_suppkey") % 50)),
             _kv("num_reviews", _txt(F.col("l_quantity"))),
             _kv("playtime_forever", _txt(F.col("l_partkey"))),
             _kv("playtime_last_two_weeks", _txt(ln * 10)),
-            _kv("steamid", json_string_text(F.col("l_suppkey"))),
+            _kv("steamid", _q(F.col("l_suppkey"))),
         )
     )
     language = (
@@ -95,41 +99,46 @@ def _ledger_rows(li: DataFrame, v: LedgerVariant, load: int) -> DataFrame:
     )
     wvs_digits = F.concat(F.lit("0."), _txt(ln))
     payload = _obj(
-        _kv("app_id", json_string_text(appid)),
+        _kv("app_id", _q(appid)),
         _kv("author", author),
-        F.when(ln == 2, F.lit("")).otherwise(_kv("comment_count", _txt(F.col("l_orderkey") % 5))),
-        _kv("cursor", json_string_text(cursor)),
-        _kv("fetched_at", json_string_text(ingested_txt)),
-        _kv("language", json_string_text(language)),
+        F.when(ln != 2, _kv("comment_count", _txt(F.col("l_orderkey") % 5))),
+        _kv("cursor", _q(cursor)),
+        _kv("fetched_at", _q(ingested_txt)),
+        _kv("language", _q(language)),
         _kv("page", _txt(ln)),
         _kv("playtime_at_review", _txt(F.col("l_partkey") % 1000)),
-        F.when(ln == 6, _kv("primarily_steam_deck", F.lit("false"))).otherwise(F.lit("")),
+        F.when(ln == 6, _kv("primarily_steam_deck", F.lit("false"))),
         _kv("received_for_free", json_bool_text(F.col("l_orderkey") % 7 == 0)),
-        _kv("recommendationid", json_string_text(recid)),
-        _kv("review", json_string_text(F.concat(F.lit("line "), F.col("l_returnflag"), F.col("l_linestatus")))),
+        _kv("recommendationid", _q(recid)),
+        _kv("review", _q(F.concat(F.lit("line "), F.col("l_returnflag"), F.col("l_linestatus")))),
         _kv("steam_purchase", json_bool_text(F.col("l_linestatus") == "F")),
         _kv("timestamp_created", _txt(created_epoch)),
-        F.when(ln == 5, F.lit("")).otherwise(_kv("timestamp_updated", _txt(updated_epoch))),
+        F.when(ln != 5, _kv("timestamp_updated", _txt(updated_epoch))),
         _kv("voted_up", json_bool_text(voted)),
         _kv("votes_funny", _txt(F.col("l_suppkey") % 3)),
         _kv("votes_up", F.when(ln == 7, F.lit('"bad"')).otherwise(_txt(ln))),
         _kv(
             "weighted_vote_score",
-            F.when(F.col("l_orderkey") % 2 == 0, json_string_text(wvs_digits)).otherwise(wvs_digits),
+            F.when(F.col("l_orderkey") % 2 == 0, _q(wvs_digits)).otherwise(wvs_digits),
         ),
         _kv("written_during_early_access", json_bool_text(F.col("l_partkey") % 4 == 0)),
     )
     rows = li if load == 1 else li.filter(ln % 3 == 0)
-    return rows.select(
+    # payload is built in one projection and hashed in the next, so it is
+    # computed once per row
+    built = rows.select(
         appid.alias("appid"),
         recid.alias("recommendationid"),
         updated.alias("updated_at"),
         ingested.cast("timestamp_ntz").alias("ingested_at"),
         F.lit(f"L{load}").alias("load_id"),
-        F.sha2(payload, 256).alias("hash_payload"),
         cursor.alias("cursor"),
         payload.alias("payload"),
     )
+    return built.select(
+        "appid", "recommendationid", "updated_at", "ingested_at", "load_id",
+        F.sha2(F.col("payload"), 256).alias("hash_payload"), "cursor", "payload",
+    )
 
 
 def review_ledger(spark: SparkSession, sf_dir: str, variant: str = "base") -> DataFrame:
@@ -174,18 +183,18 @@ def _review_payload(with_defects: bool) -> Column:
     created = timestamp_to_epoch_seconds(F.col("ts"))
     lang = F.when(eid % 3 == 0, "english").when(eid % 3 == 1, "german").otherwise("french")
     author = _obj(
-        _kv("steamid", json_string_text(F.col("user_id"))),
+        _kv("steamid", _q(F.col("user_id"))),
         _kv("num_games_owned", _txt(F.col("user_id") % 30)),
         _kv("num_reviews", F.lit("1")),
         _kv("playtime_forever", F.lit("100")),
     )
     return _obj(
-        F.when(eid == NULL_KEY_EVENT, F.lit("")).otherwise(_kv("recommendationid", json_string_text(eid))),
-        _kv("language", F.when(defect == 4, F.lit("null")).otherwise(json_string_text(lang))),
-        _kv("review", F.when(defect == 3, F.lit("42")).otherwise(json_string_text(F.col("event_type")))),
+        F.when(eid != NULL_KEY_EVENT, _kv("recommendationid", _q(eid))),
+        _kv("language", F.when(defect == 4, F.lit("null")).otherwise(_q(lang))),
+        _kv("review", F.when(defect == 3, F.lit("42")).otherwise(_q(F.col("event_type")))),
         _kv("timestamp_created", _txt(created)),
         _kv("timestamp_updated", _txt(created + F.lit(60))),
-        F.when(defect == 0, F.lit("")).otherwise(_kv("voted_up", json_bool_text(F.col("event_type") != "error"))),
+        F.when(defect.isNull() | (defect != 0), _kv("voted_up", json_bool_text(F.col("event_type") != "error"))),
         _kv("votes_up", F.when(defect == 1, F.lit("-1")).otherwise(_txt(eid % 7))),
         _kv("votes_funny", F.lit("0")),
         _kv("weighted_vote_score", F.lit('"0.5"')),
@@ -225,9 +234,7 @@ def page_envelopes(spark: SparkSession, sf_dir: str, with_defects: bool = False)
     )
     body = _obj(
         _kv("success", success),
-        F.when((case == 3) & (page == STOP_NO_CURSOR_PAGE), F.lit("")).otherwise(
-            _kv("cursor", json_string_text(next_cursor))
-        ),
+        F.when(~((case == 3) & (page == STOP_NO_CURSOR_PAGE)), _kv("cursor", _q(next_cursor))),
         _kv("reviews", F.concat(F.lit("["), reviews, F.lit("]"))),
     )
     return pages.select(
