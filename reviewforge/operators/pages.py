@@ -34,11 +34,25 @@ REVIEW_TYPES = ("all", "positive", "negative")
 PURCHASE_TYPES = ("all", "steam", "non_steam")
 
 
+def success_is_one(body: Column) -> Column:
+    """``success`` equals 1 as a JSON value: the number 1 (also ``1.0``) or
+    ``true``; the string ``"1"``, other values, null or absence do not."""
+    v = F.try_parse_json(body)
+    t = F.schema_of_variant(F.variant_get(v, "$.success", "variant"))
+    numeric_one = t.rlike(r"^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL.*)$") & (
+        F.try_variant_get(v, "$.success", "double") == F.lit(1.0)
+    )
+    true = (t == F.lit("BOOLEAN")) & F.try_variant_get(v, "$.success", "boolean")
+    return F.coalesce(numeric_one | true, F.lit(False))
+
+
 def parse_envelopes(pages: DataFrame) -> DataFrame:
-    """Add the parsed envelope fields: ``success_ok``, ``next_cursor``, ``reviews``."""
+    """Add the parsed envelope fields: ``success_ok``, ``next_cursor``, ``reviews``.
+
+    Reviews and the cursor are read as raw text (each review keeps its exact
+    JSON); ``success`` is judged on its JSON type."""
     env = F.from_json(F.col("body"), ENVELOPE_SCHEMA)
-    success = env["success"]
-    ok = (success.try_cast("double") == F.lit(1.0)) | (F.lower(success) == F.lit("true"))
+    ok = success_is_one(F.col("body"))
     return pages.withColumn("_env", env).select(
         *pages.columns,
         F.coalesce(ok, F.lit(False)).alias("success_ok"),

@@ -338,7 +338,10 @@ def admitted_ctes(pages: str = "pages", name: str = "admitted", max_pages: int |
     cap = f"and page <= greatest({int(max_pages)}, start_page)" if max_pages is not None else ""
     return f"""{name}_env as (
     select p.app_id, p.page, p.cursor, p.fetched_at, p.body, {start} as start_page,
-        coalesce(try_cast(p.body ->> 'success' as double) = 1 or lower(p.body ->> 'success') = 'true', false) as success_ok,
+        coalesce((json_type(p.body, '$.success') in ('BIGINT', 'UBIGINT', 'HUGEINT', 'DOUBLE')
+                  and cast(json_extract(p.body, '$.success') as double) = 1)
+                 or (json_type(p.body, '$.success') = 'BOOLEAN' and cast(json_extract(p.body, '$.success') as boolean)),
+                 false) as success_ok,
         p.body ->> 'cursor' as next_cursor,
         json_array_length(p.body, '$.reviews') as n_reviews
     from {pages} p {join_resume}),
