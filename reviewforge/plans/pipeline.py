@@ -106,3 +106,29 @@ def build_models(
         spark, metrics.adaptive_metrics(silver, params), paths.gold, version, "fct_steam_review_metrics_adaptive"
     )
     return {"compacted": compacted, "silver": silver, "gold": gold}
+
+
+# The layer names users query.
+VIEW_NAMES = {
+    "raw": "steam_reviews_raw",
+    "compacted": "steam_reviews_raw_compacted",
+    "silver": "steam_reviews_enriched",
+    "gold": "fct_steam_review_metrics_adaptive",
+    "watermarks": "load_watermarks",
+}
+
+
+def register_views(spark: SparkSession, paths: Paths) -> dict[str, str]:
+    """Expose the layers to ``spark.sql`` under their model names.
+
+    The ledger and its compaction are views (evaluated per query, like the
+    reference's view models); silver and gold point at the published version.
+    """
+    raw = store.read_ledger(spark, paths.ledger)
+    raw.createOrReplaceTempView(VIEW_NAMES["raw"])
+    compaction.compact_latest(raw).createOrReplaceTempView(VIEW_NAMES["compacted"])
+    store.read_watermarks(spark, paths.watermarks).createOrReplaceTempView(VIEW_NAMES["watermarks"])
+    for layer, base in (("silver", paths.silver), ("gold", paths.gold)):
+        if store.current_version(spark, base) is not None:
+            store.read_current(spark, base).createOrReplaceTempView(VIEW_NAMES[layer])
+    return dict(VIEW_NAMES)

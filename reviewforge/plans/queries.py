@@ -67,16 +67,19 @@ def silver(spark: SparkSession, sf_dir: str, variant: str = "base") -> DataFrame
     return enrich.enrich(compaction.compact_latest(ledger(spark, sf_dir, variant)))
 
 
-def gold(spark: SparkSession, sf_dir: str, variant: str, params: DecayParams) -> DataFrame:
+def gold_from_silver(s: DataFrame, params: DecayParams) -> DataFrame:
     """Gold over a lazily derived silver: the narrow silver columns are
     checkpointed once so the two aggregation passes do not each recompute
     the compaction window."""
-    s = silver(spark, sf_dir, variant)
-    checkpoint_dir(spark)
+    checkpoint_dir(s.sparkSession)
     narrow = s.select(*metrics.GOLD_INPUT_COLUMNS).checkpoint(eager=True)
     return metrics.adaptive_metrics(narrow, params)
 
 
+def gold(spark: SparkSession, sf_dir: str, variant: str, params: DecayParams) -> DataFrame:
+    return gold_from_silver(silver(spark, sf_dir, variant), params)
+
+
 def _with(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
 
@@ -347,10 +350,13 @@ register("metric_total", _with(*_GOLD_BASE) + f"select {_METRIC_SELECT} from gol
 
 def _dq(test: str):
     def fn(spark, sf_dir):
-        raw = ledger(spark, sf_dir)
+        # the ledger feeds four layers here: materialize it once, as the
+        # stored ledger table would be
+        checkpoint_dir(spark)
+        raw = ledger(spark, sf_dir).checkpoint(eager=True)
         comp = compaction.compact_latest(raw)
         s = enrich.enrich(comp)
-        g = gold(spark, sf_dir, "base", BASE_PARAMS)
+        g = gold_from_silver(s, BASE_PARAMS)
         checks = [c for c in DQ.CHECKS if c.test == test]
         tables = {
             "steam_reviews_raw": raw,

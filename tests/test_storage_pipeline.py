@@ -10,7 +10,7 @@ from reviewforge.operators import quality as Q
 from reviewforge.operators.ingest import RunOptions
 from reviewforge.operators import semantic as SEM
 from reviewforge.params import DecayParams
-from reviewforge.plans.pipeline import Paths, build_models, run_ingest
+from reviewforge.plans.pipeline import Paths, build_models, register_views, run_ingest
 from reviewforge.sources import fixtures
 from reviewforge.sources import ledger as ST
 from reviewforge.streaming.tail import tail_landing
@@ -68,6 +68,10 @@ def test_pipeline_end_to_end(spark, scratch):
     assert ST.current_version(spark, paths.gold) == "t1"
     m = SEM.query_metrics(gold, ["avg_rating", "total_reviews"], ["metric_time__month"]).collect()
     assert len(m) == 1 and m[0].total_reviews > 0
+    register_views(spark, paths)
+    n = spark.sql("select count(*) from fct_steam_review_metrics_adaptive where avg_rating between 0 and 1").first()[0]
+    assert n == gold.count()
+    assert spark.sql("select count(*) from steam_reviews_raw_compacted").first()[0] == out["compacted"].count()
 
 
 def test_stream_tail_is_replay_safe(spark, scratch):
