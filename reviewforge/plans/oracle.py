@@ -16,12 +16,13 @@ from ..sources.fixtures import (
     APP_MODULUS,
     DEFECT_MODULUS,
     EMPTY_APP_ID,
-    LEDGER_VARIANTS,
+    FIXTURE_AS_OF,
+    FIXTURE_AS_OF_EPOCH,
+    FIXTURE_INGESTED_ON,
     NULL_KEY_EVENT,
     PAGE_APP_MODULUS,
     PAGE_SIZE,
     PAGES_FETCHED_AT,
-    STAGGER_ORIGIN,
     STOP_EMPTY_PAGE,
     STOP_NO_CURSOR_PAGE,
     STOP_SAME_CURSOR_PAGE,
@@ -57,11 +58,11 @@ QUOTED_ZERO = "'0'"
 QUOTED_FALSE = "'false'"
 
 
-def _ledger_load(v, load: int) -> str:
+def _ledger_load(load: int) -> str:
     days = load - 1
-    created = "(epoch_us(l_shipdate) // 1000000)"
+    created = "created_epoch"
     upd = f"({created} + {86400 * days})"
-    ingested = f"(DATE '{v.ingested_on}' + {days})"
+    ingested = f"(DATE '{FIXTURE_INGESTED_ON}' + {days})"
     ingested_txt = f"(strftime({ingested}, '%Y-%m-%d') || 'T00:00:00')"
     voted = "l_returnflag <> 'R'" if load == 1 else "not (l_returnflag <> 'R')"
     cursor = "'*'" if load == 1 else "'c1'"
@@ -107,24 +108,20 @@ def _ledger_load(v, load: int) -> str:
     where = "" if load == 1 else "where l_linenumber % 3 = 0"
     return f"""
     select {appid} as appid, {recid} as recommendationid,
-           l_shipdate + to_days({days}) as updated_at,
+           make_timestamp({upd} * 1000000) as updated_at,
            cast({ingested} as timestamp) as ingested_at,
            'L{load}' as load_id, sha256(payload) as hash_payload, {cursor} as cursor, payload
-    from (select *, {payload} as payload from li_{v.name}) {where}"""
+    from (select *, {payload} as payload from li) {where}"""
 
 
-def ledger_cte(variant: str = "base", name: str = "ledger") -> str:
+def ledger_cte(name: str = "ledger") -> str:
     """CTE text defining fixture L as ``name``."""
-    v = LEDGER_VARIANTS[variant]
-    li = f"""li_{v.name} as (
-    select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_returnflag, l_linestatus, l_shipdate
-    from lineitem
-    where l_shipdate < TIMESTAMP '{v.cutoff}'
-      and datediff('day', DATE '{STAGGER_ORIGIN}', l_shipdate) >= floor((l_partkey % {APP_MODULUS}) * {v.stagger_tenths} / 10))"""
-    body = _ledger_load(v, 1)
-    if v.second_load:
-        body += "\n    union all" + _ledger_load(v, 2)
-    return f"{li},\n{name} as ({body}\n)"
+    li = f"""li as (
+    select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_returnflag, l_linestatus, l_shipdate,
+        {FIXTURE_AS_OF_EPOCH} - (datediff('day', l_shipdate, DATE '{FIXTURE_AS_OF}') * 86400
+            * (l_partkey % {APP_MODULUS} + 1)) // {APP_MODULUS} as created_epoch
+    from lineitem)"""
+    return f"{li},\n{name} as ({_ledger_load(1)}\n    union all{_ledger_load(2)}\n)"
 
 
 # ------------------------------------------------------------- model layers

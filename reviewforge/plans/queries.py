@@ -24,14 +24,16 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
-# As-of dates of the fixture variants (FIXTURES.md section 3).
-AS_OF_BASE = "1996-12-31"
-AS_OF_LONG = "1999-12-31"
-AS_OF_BACKFILL = "1996-06-30"
+# As-of dates of the registered metric runs (FIXTURES.md section 3).
+AS_OF_BASE = fixtures.FIXTURE_AS_OF  # all reviews before it
+AS_OF_TUNED = "2002-06-30"  # half a year later: more ages reach the cap
+AS_OF_BACKFILL = "2001-06-30"  # half a year earlier: later reviews have negative ages
 
 BASE_PARAMS = DecayParams().with_as_of(AS_OF_BASE)
-# Shorter fractions and wider clamps reach the upper clamps on the long fixture.
-TUNED_PARAMS = DecayParams(h_short_frac=0.04, h_long_frac=0.15, h_long_max_days=200.0).with_as_of(AS_OF_LONG)
+# Other fractions and clamps, overridden by name as the definitions allow.
+TUNED_PARAMS = DecayParams(
+    weight_age_cap_days=730.0, h_short_frac=0.04, h_long_frac=0.15, h_long_max_days=200.0, h_pos_min_days=14.0
+).with_as_of(AS_OF_TUNED)
 BACKFILL_PARAMS = DecayParams().with_as_of(AS_OF_BACKFILL)
 
 
@@ -58,13 +60,13 @@ def _prep(spark: SparkSession) -> None:
     apply_session_defaults(spark)
 
 
-def ledger(spark: SparkSession, sf_dir: str, variant: str = "base") -> DataFrame:
+def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     _prep(spark)
-    return fixtures.review_ledger(spark, sf_dir, variant)
+    return fixtures.review_ledger(spark, sf_dir)
 
 
-def silver(spark: SparkSession, sf_dir: str, variant: str = "base") -> DataFrame:
-    return enrich.enrich(compaction.compact_latest(ledger(spark, sf_dir, variant)))
+def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.enrich(compaction.compact_latest(ledger(spark, sf_dir)))
 
 
 def gold_from_silver(s: DataFrame, params: DecayParams) -> DataFrame:
@@ -76,33 +78,33 @@ def gold_from_silver(s: DataFrame, params: DecayParams) -> DataFrame:
     return metrics.adaptive_metrics(narrow, params)
 
 
-def gold(spark: SparkSession, sf_dir: str, variant: str, params: DecayParams) -> DataFrame:
-    return gold_from_silver(silver(spark, sf_dir, variant), params)
+def gold(spark: SparkSession, sf_dir: str, params: DecayParams) -> DataFrame:
+    return gold_from_silver(silver(spark, sf_dir), params)
 
 
 def _with(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
 
 
-_CHAIN = [O.ledger_cte("base"), O.compacted_cte(), O.enriched_cte()]
+_CHAIN = [O.ledger_cte(), O.compacted_cte(), O.enriched_cte()]
 
 
 # ------------------------------------------------------------ ledger models
 
 
-@register("ledger_scan", _with(O.ledger_cte("base")) + f"select {O.LEDGER_COLS} from ledger")
+@register("ledger_scan", _with(O.ledger_cte()) + f"select {O.LEDGER_COLS} from ledger")
 def q_ledger_scan(spark, sf_dir):
     return compaction.ledger_scan(ledger(spark, sf_dir))
 
 
-@register("compact_latest", _with(O.ledger_cte("base"), O.compacted_cte()) + "select * from compacted")
+@register("compact_latest", _with(O.ledger_cte(), O.compacted_cte()) + "select * from compacted")
 def q_compact_latest(spark, sf_dir):
     return compaction.compact_latest(ledger(spark, sf_dir))
 
 
 @register(
     "version_history",
-    _with(O.ledger_cte("base"), O.compacted_cte(name="versions", key="appid, recommendationid, hash_payload"))
+    _with(O.ledger_cte(), O.compacted_cte(name="versions", key="appid, recommendationid, hash_payload"))
     + "select * from versions",
 )
 def q_version_history(spark, sf_dir):
@@ -166,24 +168,24 @@ def q_weighted_sums(spark, sf_dir):
     return round_doubles(metrics.weighted_sums(metrics.decay_weights(reviews, lambdas, BASE_PARAMS)))
 
 
-def _gold_sql(variant: str, params: DecayParams) -> str:
-    chain = [O.ledger_cte(variant), O.compacted_cte(), O.enriched_cte()]
+def _gold_sql(params: DecayParams) -> str:
+    chain = [O.ledger_cte(), O.compacted_cte(), O.enriched_cte()]
     return _with(*chain, O.gold_ctes(params)) + f"select {O.GOLD_SELECT_ROUNDED} from gold"
 
 
-@register("adaptive_metrics", _gold_sql("base", BASE_PARAMS))
+@register("adaptive_metrics", _gold_sql(BASE_PARAMS))
 def q_adaptive_metrics(spark, sf_dir):
-    return round_doubles(gold(spark, sf_dir, "base", BASE_PARAMS))
+    return round_doubles(gold(spark, sf_dir, BASE_PARAMS))
 
 
-@register("adaptive_metrics_tuned", _gold_sql("long", TUNED_PARAMS))
+@register("adaptive_metrics_tuned", _gold_sql(TUNED_PARAMS))
 def q_adaptive_metrics_tuned(spark, sf_dir):
-    return round_doubles(gold(spark, sf_dir, "long", TUNED_PARAMS))
+    return round_doubles(gold(spark, sf_dir, TUNED_PARAMS))
 
 
-@register("adaptive_metrics_backfill", _gold_sql("base", BACKFILL_PARAMS))
+@register("adaptive_metrics_backfill", _gold_sql(BACKFILL_PARAMS))
 def q_adaptive_metrics_backfill(spark, sf_dir):
-    return round_doubles(gold(spark, sf_dir, "base", BACKFILL_PARAMS))
+    return round_doubles(gold(spark, sf_dir, BACKFILL_PARAMS))
 
 
 # ------------------------------------------------------------- ingest side
@@ -316,7 +318,7 @@ from ..operators import quality as DQ  # noqa: E402
 from ..operators import semantic as SEM  # noqa: E402
 
 _METRICS = ["avg_rating", "edp_current", "decay_ewrr", "cult_score", "total_reviews"]
-_GOLD_BASE = [O.ledger_cte("base"), O.compacted_cte(), O.enriched_cte(), O.gold_ctes(BASE_PARAMS)]
+_GOLD_BASE = [O.ledger_cte(), O.compacted_cte(), O.enriched_cte(), O.gold_ctes(BASE_PARAMS)]
 _METRIC_SELECT = ("round(avg(avg_rating), 6) as avg_rating, round(avg(edp_current), 6) as edp_current, "
                   "round(avg(decay_ewrr), 6) as decay_ewrr, round(avg(cult_score), 6) as cult_score, "
                   "max(total_reviews) as total_reviews")
@@ -324,7 +326,7 @@ _METRIC_SELECT = ("round(avg(avg_rating), 6) as avg_rating, round(avg(edp_curren
 
 def _metric_query(group_by):
     def fn(spark, sf_dir):
-        g = gold(spark, sf_dir, "base", BASE_PARAMS)
+        g = gold(spark, sf_dir, BASE_PARAMS)
         return round_doubles(SEM.query_metrics(g, _METRICS, group_by))
 
     return fn
@@ -406,12 +408,12 @@ for _t in ("not_null", "unique", "accepted_range"):
 from ..operators import indicators as K  # noqa: E402
 from ..sources import ledger as ST  # noqa: E402
 
-FRESHNESS_AS_OF = "1997-01-03 09:00:00"
+FRESHNESS_AS_OF = "2002-01-03 09:00:00"
 
 
 @register(
     "freshness",
-    _with(O.ledger_cte("base"))
+    _with(O.ledger_cte())
     + f"""select appid, max(ingested_at) as last_landed_at,
     round((epoch_us(TIMESTAMP '{FRESHNESS_AS_OF}') - epoch_us(max(ingested_at))) / 86400000000.0 * 1440.0, 6) as lag_minutes
 from ledger group by appid""",
@@ -439,7 +441,7 @@ def q_completeness(spark, sf_dir):
 
 @register(
     "late_rate",
-    _with(O.ledger_cte("base"), O.enriched_cte(src="ledger"))
+    _with(O.ledger_cte(), O.enriched_cte(src="ledger"))
     + """select bronze_load_id, count(*) as reviews,
     round(avg(case when (epoch_us(bronze_ingested_at) - epoch_us(review_created_at)) / 86400000000.0 > 7.0
               then 1.0 else 0.0 end), 6) as late_rate
@@ -451,7 +453,7 @@ def q_late_rate(spark, sf_dir):
 
 @register(
     "dup_rate",
-    _with(O.ledger_cte("base"))
+    _with(O.ledger_cte())
     + """select load_id, sum(n)::bigint as rows, count(*)::bigint as distinct_keys,
     round(1.0 - count(*) / sum(n), 6) as dup_rate
 from (select load_id, appid, recommendationid, count(*) as n from ledger group by 1, 2, 3) group by load_id""",
@@ -465,7 +467,7 @@ def _drift_sql() -> str:
 
     top = ", ".join(f"'{k}'" for k in CONTRACT_KEYS)
     auth = ", ".join(f"'{k}'" for k, _ in AUTHOR_PROPERTY_TYPES)
-    return _with(O.ledger_cte("base")) + f"""select load_id, scope, drift_key, count(*)::bigint as rows from (
+    return _with(O.ledger_cte()) + f"""select load_id, scope, drift_key, count(*)::bigint as rows from (
     select load_id, '$' as scope, unnest(json_keys(payload)) as drift_key from ledger
     union all
     select load_id, '$.author' as scope, unnest(json_keys(payload, '$.author')) as drift_key from ledger
@@ -485,7 +487,7 @@ _UPSERT_OUT = ["app_id", "recommendationid", "review_updated_at", "voted_up", "b
 @register(
     "incremental_upsert",
     _with(
-        O.ledger_cte("base"),
+        O.ledger_cte(),
         "l1 as (select * from ledger where load_id = 'L1')",
         "l2 as (select * from ledger where load_id = 'L2')",
         O.compacted_cte(src="l1", name="l1c"),
@@ -518,7 +520,7 @@ SCHEMA_V2_TAG = "v2"
 
 @register(
     "schema_evolution_append",
-    _with(O.ledger_cte("base"))
+    _with(O.ledger_cte())
     + f"""select * from (select appid, recommendationid, updated_at, ingested_at, load_id, hash_payload, cursor, payload
     from ledger where load_id = 'L1')
 union all by name

@@ -12,36 +12,24 @@ hashes of the payload text agree across engines.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.casts import json_bool_text, timestamp_to_epoch_seconds
+from ..functions.casts import epoch_to_timestamp, json_bool_text, timestamp_to_epoch_seconds
 from ..operators.sequence import number_within
 
 
-@dataclass(frozen=True)
-class LedgerVariant:
-    """Shape of fixture L: cutoff date, first-review stagger, loads."""
-
-    name: str
-    cutoff: str  # rows shipped before this date
-    stagger_tenths: int  # first review of app k no earlier than floor(k * tenths / 10) days
-    ingested_on: str  # ingestion date of load L1 (L2 one day later)
-    second_load: bool
-
-
 # Fixed values of the fixture definitions (FIXTURES.md section 3).
-LEDGER_BASE = LedgerVariant("base", "1996-12-31", 24, "1997-01-01", True)
-LEDGER_LONG = LedgerVariant("long", "1999-12-31", 60, "2000-01-01", False)
-STAGGER_ORIGIN = "1995-01-01"
+FIXTURE_AS_OF = "2001-12-31"  # every ship date is before it, at every scale factor
+FIXTURE_AS_OF_EPOCH = (_dt.date(2001, 12, 31) - _dt.date(1970, 1, 1)).days * 86400
+FIXTURE_INGESTED_ON = "2002-01-01"  # load L1; load L2 one day later
 APP_MODULUS = 300
 PAGE_APP_MODULUS = 20
 PAGE_SIZE = 5
 PAGES_FETCHED_AT = "2024-02-01T00:00:00"
 EMPTY_APP_ID = "20"
-LEDGER_VARIANTS = {"base": LEDGER_BASE, "long": LEDGER_LONG}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,14 +54,13 @@ def _txt(c: Column) -> Column:
     return c.cast("string")
 
 
-def _ledger_rows(li: DataFrame, v: LedgerVariant, load: int) -> DataFrame:
-    ship = F.col("l_shipdate")
+def _ledger_rows(li: DataFrame, load: int) -> DataFrame:
     ln = F.col("l_linenumber")
     days_later = load - 1
-    updated = F.timestamp_add("DAY", F.lit(days_later), ship)
-    created_epoch = timestamp_to_epoch_seconds(ship)
+    created_epoch = F.col("_created_epoch")
     updated_epoch = created_epoch + F.lit(86400 * days_later)
-    ingested = F.date_add(F.lit(v.ingested_on).cast("date"), days_later)
+    updated = epoch_to_timestamp(updated_epoch)
+    ingested = F.date_add(F.lit(FIXTURE_INGESTED_ON).cast("date"), days_later)
     ingested_txt = F.concat(F.date_format(ingested, "yyyy-MM-dd"), F.lit("T00:00:00"))
     voted = F.col("l_returnflag") != F.lit("R")
     if load == 2:
@@ -141,22 +128,24 @@ def _ledger_rows(li: DataFrame, v: LedgerVariant, load: int) -> DataFrame:
     )
 
 
-def review_ledger(spark: SparkSession, sf_dir: str, variant: str = "base") -> DataFrame:
+def review_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture L: ledger rows ``(appid, recommendationid, updated_at, ingested_at,
-    load_id, hash_payload, cursor, payload)`` derived from ``lineitem``."""
-    v = LEDGER_VARIANTS[variant]
+    load_id, hash_payload, cursor, payload)`` from every ``lineitem`` row.
+
+    Load L1 holds every row; load L2 a second version (one day later, vote
+    flipped) of rows with ``l_linenumber % 3 = 0``. Review time of app ``k``
+    (``l_partkey % 300``): the ship date's age at ``FIXTURE_AS_OF`` scaled by
+    ``(k + 1) / 300``, so app tenures run from about a week to seven years and
+    every half-life clamp regime occurs. Integer arithmetic throughout.
+    """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    stagger_days = F.floor(F.col("l_partkey") % APP_MODULUS * v.stagger_tenths / 10)
-    li = li.filter(F.col("l_shipdate") < F.lit(v.cutoff).cast("timestamp_ntz")).filter(
-        F.datediff(F.col("l_shipdate"), F.lit(STAGGER_ORIGIN).cast("date")) >= stagger_days
-    )
-    out = _ledger_rows(li, v, 1)
-    if v.second_load:
-        out = out.unionByName(_ledger_rows(li, v, 2))
-    return out
+    age_seconds = F.datediff(F.lit(FIXTURE_AS_OF).cast("date"), F.col("l_shipdate")).cast("long") * F.lit(86400)
+    scaled = F.floor(age_seconds * (F.col("l_partkey") % APP_MODULUS + 1) / APP_MODULUS)
+    li = li.withColumn("_created_epoch", (F.lit(FIXTURE_AS_OF_EPOCH) - scaled).cast("long"))
+    return _ledger_rows(li, 1).unionByName(_ledger_rows(li, 2))
 
 
 # --------------------------------------------------------------------------

@@ -47,7 +47,7 @@ def test_invariants_on_fixture(spark):
     from reviewforge.plans.queries import BASE_PARAMS, gold
     from tests.conftest import SF_SMALL
 
-    g = gold(spark, SF_SMALL, "base", BASE_PARAMS)
+    g = gold(spark, SF_SMALL, BASE_PARAMS)
     bad = g.filter(
         (F.col("avg_rating") < 0) | (F.col("avg_rating") > 1)
         | (F.col("edp_current") < 0) | (F.col("edp_current") > 1 + 1e-12)
