@@ -508,8 +508,11 @@ def q_incremental_upsert(spark, sf_dir):
     checkpoint_dir(spark)
     # the stored table and the staged batch are materialized, as they would be
     # on disk, so filters run over columns rather than re-parsing payloads
-    existing = enrich.enrich(compaction.compact_latest(raw.filter(F.col("load_id") == "L1"))).checkpoint(eager=True)
-    batch = enrich.enrich(raw.filter(F.col("load_id") == "L2")).checkpoint(eager=True)
+    cols = _UPSERT_OUT + ["review_created_at", "record_changed_at", "bronze_ingested_at", "bronze_hash_payload"]
+    existing = enrich.enrich(compaction.compact_latest(raw.filter(F.col("load_id") == "L1")))
+    batch = enrich.enrich(raw.filter(F.col("load_id") == "L2"))
+    existing = existing.select(*cols).checkpoint(eager=True)
+    batch = batch.select(*cols).checkpoint(eager=True)
     return K.incremental_upsert(existing, batch).select(*_UPSERT_OUT)
 
 
