@@ -126,3 +126,13 @@ def query_metrics(
     if order_by:
         out = out.orderBy(*order_by)
     return out
+
+
+def check_primary_entity(gold: DataFrame) -> None:
+    """The model's primary entity (one gold row per app) is what makes the
+    metric averages per-app averages; raise when ``app_id`` repeats or is NULL."""
+    from .quality import Check, gate, run_checks
+
+    key = ENTITY[1]
+    checks = (Check(MODEL, key, "not_null"), Check(MODEL, key, "unique"))
+    gate(run_checks({MODEL: gold}, checks))

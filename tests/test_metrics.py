@@ -69,3 +69,22 @@ def test_backfill_allows_weight_above_one(spark):
 def test_params_override_by_name():
     p = DecayParams().overrides(h_short_frac=0.1, as_of="2024-01-01")
     assert p.h_short_frac == 0.1 and p.as_of == dt.date(2024, 1, 1)
+
+
+def test_default_as_of_is_today(spark):
+    today = dt.date.today()
+    t = dt.datetime(today.year, today.month, today.day)
+    g = M.adaptive_metrics(_silver(spark, [("a", t, t, t, True, False)])).first()  # as_of unset: current date
+    assert g.half_life_short_days == 7.0 and g.edp_current == 1.0
+
+
+def test_primary_entity_check(spark):
+    import pytest
+
+    from reviewforge.operators import quality as Q
+    from reviewforge.operators import semantic as SEM
+
+    ok = spark.createDataFrame([("a", 0.5), ("b", 0.2)], "app_id string, avg_rating double")
+    SEM.check_primary_entity(ok)
+    with pytest.raises(Q.DataQualityError):
+        SEM.check_primary_entity(ok.unionByName(ok))
