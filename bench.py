@@ -47,6 +47,9 @@ def main() -> None:
             "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
             "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
             "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024),
+            # single machine: keep every core busy after a shuffle
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -45,6 +45,12 @@ class IngestResult:
     quarantine: DataFrame  # reviews breaking the contract, with ``violations``
     ledger: DataFrame  # the 8 ledger columns
     watermarks: DataFrame  # one row per requested app
+    kept: DataFrame | None = None  # the persisted checked batch, if any
+
+    def release(self) -> None:
+        """Unpersist the checked batch once the run's outputs are written."""
+        if self.kept is not None:
+            self.kept.unpersist()
 
 
 def with_violations(reviews: DataFrame) -> DataFrame:
@@ -130,10 +136,12 @@ def ingest(
         reviews = checked.filter(F.col("violations") == F.lit("")).drop("violations")
         quarantine = bad
     else:
+        checked = None
         quarantine = reviews.limit(0).withColumn("violations", F.lit(""))
     return IngestResult(
         reviews=reviews,
         quarantine=quarantine,
         ledger=ledger_rows(reviews, load_id, run_ts),
         watermarks=load_watermarks(reviews, requested, load_id, run_ts),
+        kept=checked,
     )

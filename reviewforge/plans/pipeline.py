@@ -76,6 +76,7 @@ def run_ingest(
         result.quarantine.select("app_id", "page", "pos", "cursor", "fetched_at", "review", "violations").write.mode(
             "append"
         ).parquet(f"{paths.quarantine}/load_id={load_id}")
+    result.release()  # outputs written: drop the batch kept for them
     return result
 
 

@@ -18,6 +18,19 @@ SESSION_DEFAULTS = {
 }
 
 
+# Partition sizing for large inputs, used only where the cluster configuration
+# leaves them unset: AQE sizes shuffle partitions to ~256 MB after each stage
+# (so the static ``spark.sql.shuffle.partitions`` only needs to be an upper
+# bound, e.g. a few thousand at 100 TB), honours that size instead of
+# maximizing task count, and splits skewed partitions above 1 GB.
+SCALE_DEFAULTS = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "reviewforge",
@@ -32,7 +45,11 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(SESSION_DEFAULTS)
+    from pyspark import SparkConf
+
+    submitted = SparkConf()  # what spark-submit / the cluster defaults already set
+    conf = {k: v for k, v in SCALE_DEFAULTS.items() if not submitted.contains(k)}
+    conf.update(SESSION_DEFAULTS)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions is not None:

@@ -19,7 +19,11 @@ def spark():
         "local[4]",
         app_name="reviewforge-tests",
         shuffle_partitions=8,
-        extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"},
+        extra={
+            "spark.checkpoint.dir": ckpt,
+            "spark.driver.memory": "4g",
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
+        },
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
