@@ -69,9 +69,10 @@ def prepare_storage(spark: SparkSession, ledger_path: str, watermarks_path: str)
 
 def append_ledger(rows: DataFrame, path: str) -> None:
     """Append one run's rows, partitioned by ``load_id`` (one folder per run,
-    so a run can be pruned or replayed as a unit)."""
+    so a run can be pruned or replayed as a unit). The rebalance hint lets
+    AQE size the output files (no flood of small files, no giant one)."""
     cols = [f.name for f in LEDGER_SCHEMA.fields]
-    rows.select(*cols).write.mode("append").partitionBy("load_id").parquet(path)
+    rows.select(*cols).hint("rebalance").write.mode("append").partitionBy("load_id").parquet(path)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -88,9 +89,13 @@ def read_watermarks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_landing(reviews: DataFrame, path: str, load_id: str) -> None:
-    """JSON lines, one review payload per line, one folder per app and run."""
+    """JSON lines, one review payload per line, one folder per app and run.
+
+    Rows are rebalanced by app before the write, so each task writes few app
+    folders; AQE splits a hot app over several tasks and merges small ones."""
     (
         reviews.select(F.col("payload").alias("value"), F.col("app_id").cast("string"), F.lit(load_id).alias("load_id"))
+        .hint("rebalance", "app_id")
         .write.mode("append")
         .partitionBy("app_id", "load_id")
         .text(path)
@@ -152,3 +157,33 @@ def read_current(spark: SparkSession, base: str) -> DataFrame:
     if v is None:
         raise FileNotFoundError(f"no version written under {base}")
     return spark.read.parquet(f"{base.rstrip('/')}/v={v}")
+
+
+# ------------------------------------------------------------ page envelopes
+
+PAGES_SCHEMA = T.StructType(
+    [
+        T.StructField("app_id", T.StringType()),
+        T.StructField("page", T.IntegerType()),
+        T.StructField("cursor", T.StringType()),
+        T.StructField("fetched_at", T.StringType()),
+        T.StructField("body", T.StringType()),
+    ]
+)
+
+
+def write_page_envelopes(pages: DataFrame, path: str) -> None:
+    """Land fetched pages as JSON lines (the envelope kept as text), one
+    folder per app so a replay can prune by app."""
+    (
+        pages.select(*[f.name for f in PAGES_SCHEMA.fields])
+        .hint("rebalance", "app_id")
+        .write.mode("append")
+        .partitionBy("app_id")
+        .json(path)
+    )
+
+
+def read_page_envelopes(spark: SparkSession, path: str) -> DataFrame:
+    """Landed pages with an explicit schema (no inference pass over the files)."""
+    return spark.read.schema(PAGES_SCHEMA).json(path).select(*[f.name for f in PAGES_SCHEMA.fields])

@@ -74,6 +74,15 @@ def test_pipeline_end_to_end(spark, scratch):
     assert spark.sql("select count(*) from steam_reviews_raw_compacted").first()[0] == out["compacted"].count()
 
 
+def test_page_envelope_files_roundtrip(spark, scratch):
+    pg = fixtures.page_envelopes(spark, SF_SMALL)
+    path = os.path.join(scratch, "pages")
+    ST.write_page_envelopes(pg, path)
+    back = ST.read_page_envelopes(spark, path)
+    assert back.columns == pg.columns
+    assert back.exceptAll(pg).count() == 0 and pg.exceptAll(back).count() == 0
+
+
 def test_stream_tail_is_replay_safe(spark, scratch):
     paths = Paths(scratch)
     pg = fixtures.page_envelopes(spark, SF_SMALL)
