@@ -204,8 +204,11 @@ FILTER_LANGUAGE = "english"
 
 
 def pages(spark: SparkSession, sf_dir: str, with_defects: bool = False) -> DataFrame:
+    """Fixture P, materialized once like the landed-pages table it stands for
+    (ingest reads it several times: stops, resume, explode)."""
     _prep(spark)
-    return fixtures.page_envelopes(spark, sf_dir, with_defects)
+    checkpoint_dir(spark)
+    return fixtures.page_envelopes(spark, sf_dir, with_defects).checkpoint(eager=True)
 
 
 def _yielded(spark, sf_dir, with_defects=False, max_pages=None, resume=None):
