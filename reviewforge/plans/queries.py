@@ -69,13 +69,17 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.enrich(compaction.compact_latest(ledger(spark, sf_dir)))
 
 
-def gold_from_silver(s: DataFrame, params: DecayParams) -> DataFrame:
-    """Gold over a lazily derived silver: the narrow silver columns are
-    checkpointed once so the two aggregation passes do not each recompute
-    the compaction window."""
+def narrow_silver(s: DataFrame) -> DataFrame:
+    """The silver columns gold reads, checkpointed once, so the two
+    aggregation passes over a lazily derived silver do not each recompute
+    the compaction window (and filters run over columns, not re-parsed
+    payloads)."""
     checkpoint_dir(s.sparkSession)
-    narrow = s.select(*metrics.GOLD_INPUT_COLUMNS).checkpoint(eager=True)
-    return metrics.adaptive_metrics(narrow, params)
+    return s.select(*metrics.GOLD_INPUT_COLUMNS).checkpoint(eager=True)
+
+
+def gold_from_silver(s: DataFrame, params: DecayParams) -> DataFrame:
+    return metrics.adaptive_metrics(narrow_silver(s), params)
 
 
 def gold(spark: SparkSession, sf_dir: str, params: DecayParams) -> DataFrame:
@@ -124,7 +128,7 @@ def q_enriched_reviews(spark, sf_dir):
     _with(*_CHAIN, O.gold_ctes(BASE_PARAMS)) + "select * from gold_bounds",
 )
 def q_app_bounds(spark, sf_dir):
-    return metrics.app_bounds(metrics.eligible_reviews(silver(spark, sf_dir)))
+    return metrics.app_bounds(metrics.eligible_reviews(narrow_silver(silver(spark, sf_dir))))
 
 
 @register(
@@ -136,7 +140,7 @@ def q_app_bounds(spark, sf_dir):
     "from gold_tenure join gold_lambdas using (app_id)",
 )
 def q_app_half_lives(spark, sf_dir):
-    bounds = metrics.app_bounds(metrics.eligible_reviews(silver(spark, sf_dir)))
+    bounds = metrics.app_bounds(metrics.eligible_reviews(narrow_silver(silver(spark, sf_dir))))
     hl = metrics.app_half_lives(bounds, BASE_PARAMS)
     return round_doubles(
         hl.select("app_id", "tenure_days", "h_short", "h_long", "h_pos", "lambda_short", "lambda_long", "lambda_pos")
@@ -150,7 +154,7 @@ def q_app_half_lives(spark, sf_dir):
     "round(lambda_long, 6) as lambda_long, round(lambda_pos, 6) as lambda_pos from gold_weighted",
 )
 def q_decay_weights(spark, sf_dir):
-    reviews = metrics.eligible_reviews(silver(spark, sf_dir))
+    reviews = metrics.eligible_reviews(narrow_silver(silver(spark, sf_dir)))
     lambdas = metrics.app_half_lives(metrics.app_bounds(reviews), BASE_PARAMS)
     w = metrics.decay_weights(reviews, lambdas, BASE_PARAMS)
     return round_doubles(w.select("app_id", "y", "age_days", "lambda_short", "lambda_long", "lambda_pos"))
@@ -163,7 +167,7 @@ def q_decay_weights(spark, sf_dir):
     "round(ew_short, 6) as ew_short, round(ew_long, 6) as ew_long from gold_sums",
 )
 def q_weighted_sums(spark, sf_dir):
-    reviews = metrics.eligible_reviews(silver(spark, sf_dir))
+    reviews = metrics.eligible_reviews(narrow_silver(silver(spark, sf_dir)))
     lambdas = metrics.app_half_lives(metrics.app_bounds(reviews), BASE_PARAMS)
     return round_doubles(metrics.weighted_sums(metrics.decay_weights(reviews, lambdas, BASE_PARAMS)))
 
