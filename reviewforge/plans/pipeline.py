@@ -14,6 +14,7 @@ import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import compaction, enrich, ingest, metrics, quality
 from ..params import DecayParams
@@ -64,17 +65,19 @@ def run_ingest(
     """One ingest run; with ``resume`` each app restarts at its last watermark."""
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     store.prepare_storage(spark, paths.ledger, paths.watermarks)
+    load_id = ingest.load_id_for(run_ts)
     resume_df = None
     if resume:
-        resume_df = ingest.resume_points(store.read_watermarks(spark, paths.watermarks), pages)
+        # earlier runs only: a re-executed run resumes where it first started
+        earlier = store.read_watermarks(spark, paths.watermarks).filter(F.col("load_id") != F.lit(load_id))
+        resume_df = ingest.resume_points(earlier, pages)
     result = ingest.ingest(pages, requested, run_ts, options, resume_df)
-    load_id = ingest.load_id_for(run_ts)
     store.write_landing(result.reviews, paths.landing, load_id)
     store.append_ledger(result.ledger, paths.ledger)
     store.append_watermarks(result.watermarks, paths.watermarks)
     if options.validate:
         result.quarantine.select("app_id", "page", "pos", "cursor", "fetched_at", "review", "violations").write.mode(
-            "append"
+            "overwrite"
         ).parquet(f"{paths.quarantine}/load_id={load_id}")
     result.release()  # outputs written: drop the batch kept for them
     return result

@@ -64,15 +64,33 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition
 
 def prepare_storage(spark: SparkSession, ledger_path: str, watermarks_path: str) -> None:
     ensure_table(spark, ledger_path, LEDGER_SCHEMA, "load_id")
-    ensure_table(spark, watermarks_path, WATERMARK_SCHEMA)
+    ensure_table(spark, watermarks_path, WATERMARK_SCHEMA, "load_id")
+
+
+def _write_runs(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> None:
+    """Write one run's folders, replacing only those folders.
+
+    Dynamic partition overwrite: a run re-executed after a failure rewrites
+    its own ``load_id`` partition instead of appending a second copy, and the
+    other runs' folders are never touched; within a run, Spark's commit
+    protocol keeps failed tasks' output out.
+    """
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by)
+        .format(fmt)
+        .save(path)
+    )
 
 
 def append_ledger(rows: DataFrame, path: str) -> None:
-    """Append one run's rows, partitioned by ``load_id`` (one folder per run,
-    so a run can be pruned or replayed as a unit). The rebalance hint lets
-    AQE size the output files (no flood of small files, no giant one)."""
+    """Add one run's rows, partitioned by ``load_id`` (one folder per run,
+    so a run can be pruned or replayed as a unit, and re-running it is
+    idempotent). The rebalance hint lets AQE size the output files (no flood
+    of small files, no giant one)."""
     cols = [f.name for f in LEDGER_SCHEMA.fields]
-    rows.select(*cols).hint("rebalance").write.mode("append").partitionBy("load_id").parquet(path)
+    _write_runs(rows.select(*cols).hint("rebalance"), path, ["load_id"])
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -81,11 +99,12 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_watermarks(watermarks: DataFrame, path: str) -> None:
-    watermarks.select(*[f.name for f in WATERMARK_SCHEMA.fields]).write.mode("append").parquet(path)
+    """One row per app and run, in the run's ``load_id`` folder."""
+    _write_runs(watermarks.select(*[f.name for f in WATERMARK_SCHEMA.fields]).coalesce(1), path, ["load_id"])
 
 
 def read_watermarks(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(WATERMARK_SCHEMA).parquet(path)
+    return spark.read.schema(WATERMARK_SCHEMA).parquet(path).select(*[f.name for f in WATERMARK_SCHEMA.fields])
 
 
 def write_landing(reviews: DataFrame, path: str, load_id: str) -> None:
@@ -93,13 +112,10 @@ def write_landing(reviews: DataFrame, path: str, load_id: str) -> None:
 
     Rows are rebalanced by app before the write, so each task writes few app
     folders; AQE splits a hot app over several tasks and merges small ones."""
-    (
-        reviews.select(F.col("payload").alias("value"), F.col("app_id").cast("string"), F.lit(load_id).alias("load_id"))
-        .hint("rebalance", "app_id")
-        .write.mode("append")
-        .partitionBy("app_id", "load_id")
-        .text(path)
-    )
+    landed = reviews.select(
+        F.col("payload").alias("value"), F.col("app_id").cast("string"), F.lit(load_id).alias("load_id")
+    ).hint("rebalance", "app_id")
+    _write_runs(landed, path, ["app_id", "load_id"], fmt="text")
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:

@@ -53,7 +53,15 @@ def test_pipeline_end_to_end(spark, scratch):
     n1 = ST.read_ledger(spark, paths.ledger).count()
     assert n1 == run1.ledger.count() > 0
     run_ingest(spark, pg, req, paths, dt.datetime(2024, 2, 2, 6), RunOptions(max_pages=4), resume=True)
+    n2 = ST.read_ledger(spark, paths.ledger).count()
+    # re-running the second run (same load id) after a failure replaces it, not duplicates it
+    wm_before = ST.read_watermarks(spark, paths.watermarks).filter(F.col("load_id") == "20240202T060000")
+    resume_rows = wm_before.count()
+    run_ingest(spark, pg, req, paths, dt.datetime(2024, 2, 2, 6), RunOptions(max_pages=4), resume=False)
+    assert ST.read_watermarks(spark, paths.watermarks).filter(F.col("load_id") == "20240202T060000").count() == resume_rows
+    run_ingest(spark, pg, req, paths, dt.datetime(2024, 2, 2, 6), RunOptions(max_pages=4), resume=True)
     led = ST.read_ledger(spark, paths.ledger)
+    assert led.count() == n2
     assert led.select("load_id").distinct().count() == 2
     # the resumed run re-reads the last page of run 1 (same reviews, new fetch metadata)
     assert led.groupBy("appid", "recommendationid").count().filter("count > 1").count() > 0
