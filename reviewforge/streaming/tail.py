@@ -41,6 +41,22 @@ def _ledger_from_landing(batch: DataFrame, load_id: str, ingested_at: _dt.dateti
     return rows.filter(F.col("appid").isNotNull() & F.col("recommendationid").isNotNull())
 
 
+def _batch_watermarks(rows: DataFrame, load_id: str, recorded_at: _dt.datetime) -> DataFrame:
+    """Per app in the batch: cursor of the latest page, latest update time."""
+    page = F.try_variant_get(F.try_parse_json(F.col("payload")), "$.page", "int")
+    per_app = rows.withColumn("_page", page).groupBy("appid").agg(
+        F.max_by("cursor", F.struct("_page", "recommendationid")).alias("cursor"),
+        F.max("updated_at").alias("max_updated_at"),
+    )
+    return per_app.select(
+        "appid",
+        F.lit(load_id).alias("load_id"),
+        "cursor",
+        "max_updated_at",
+        F.lit(recorded_at.isoformat(sep=" ")).cast("timestamp_ntz").alias("recorded_at"),
+    )
+
+
 def tail_landing(
     spark: SparkSession,
     landing_path: str,
@@ -48,8 +64,12 @@ def tail_landing(
     checkpoint_location: str | None = None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    watermarks_path: str | None = None,
 ) -> StreamingQuery:
-    """Start the stream; ``available_now`` processes what is there and stops."""
+    """Start the stream; ``available_now`` processes what is there and stops.
+
+    With ``watermarks_path`` each micro-batch also records one watermark row
+    per app it touched (same load id, same replay-safe partition write)."""
     checkpoint_location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/tail-landing"
     reader = spark.readStream.schema(store.LANDING_SCHEMA).option("basePath", landing_path)
     if max_files_per_trigger:
@@ -60,14 +80,10 @@ def tail_landing(
         load_id = stream_load_id(batch_id)
         ingested_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
         rows = _ledger_from_landing(batch, load_id, ingested_at)
-        cols = [f.name for f in store.LEDGER_SCHEMA.fields]
-        (
-            rows.select(*cols)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("load_id")
-            .parquet(ledger_path)
-        )
+        store.append_ledger(rows, ledger_path)
+        if watermarks_path:
+            written = store.read_ledger(spark, ledger_path).filter(F.col("load_id") == F.lit(load_id))
+            store.append_watermarks(_batch_watermarks(written, load_id, ingested_at), watermarks_path)
 
     writer = landed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

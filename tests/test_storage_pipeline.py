@@ -97,11 +97,15 @@ def test_stream_tail_is_replay_safe(spark, scratch):
     run_ingest(spark, pg, fixtures.requested_apps(pg), paths, dt.datetime(2024, 2, 1, 6))
     out = os.path.join(scratch, "stream_ledger")
     ckpt = os.path.join(scratch, "stream_ckpt")
-    q = tail_landing(spark, paths.landing, out, ckpt)
+    wm_path = os.path.join(scratch, "stream_wm")
+    q = tail_landing(spark, paths.landing, out, ckpt, watermarks_path=wm_path)
     q.awaitTermination(180)
     got = ST.read_ledger(spark, out)
     expected = ST.read_ledger(spark, paths.ledger)
     assert got.count() == expected.count()
+    wm = ST.read_watermarks(spark, wm_path)
+    assert wm.select("appid").distinct().count() == got.select("appid").distinct().count()
+    assert wm.filter(F.col("cursor").isNull()).count() == 0
     assert got.select("hash_payload").exceptAll(expected.select("hash_payload")).count() == 0
     q2 = tail_landing(spark, paths.landing, out, ckpt)  # nothing new: no duplicates
     q2.awaitTermination(180)
