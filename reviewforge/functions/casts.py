@@ -91,7 +91,3 @@ def json_bool_text(cond: Column) -> Column:
     """Boolean -> JSON literal text ``true``/``false``."""
     return F.when(cond, F.lit("true")).otherwise(F.lit("false"))
 
-
-def json_string_text(col: Column | str) -> Column:
-    """Text -> JSON string literal (quoted, escaped)."""
-    return F.regexp_extract(F.to_json(F.array(_c(col).cast("string"))), r"^\[(.*)\]$", 1)

@@ -16,7 +16,6 @@ one-to-one joins of per-app tables collapse into the second ``groupBy``.
 
 from __future__ import annotations
 
-import datetime as _dt
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -164,8 +163,3 @@ def adaptive_metrics(silver: DataFrame, params: DecayParams | None = None) -> Da
         F.col("h_pos").alias("half_life_pos_days"),
     )
 
-
-def parse_as_of(value: str | _dt.date | None) -> _dt.date | None:
-    if value is None or isinstance(value, _dt.date):
-        return value
-    return _dt.date.fromisoformat(value)

@@ -4,7 +4,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from reviewforge.operators import ingest as ING
 from reviewforge.operators import pages as P
