@@ -31,11 +31,12 @@ def number_within(
     otherwise ties make the numbering, like ``row_number``, arbitrary.
     """
     spark: SparkSession = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]
+    # Without an explicit count AQE sizes the range partitions; coalesced
+    # partitions are contiguous key ranges, so positions stay in order.
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     ranged = (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
+        ranged.sortWithinPartitions(*keys)
         .withColumn("_mid", F.monotonically_increasing_id())
     )
     # The positions are used twice (block counts and the final join); cut the
