@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from reviewforge.operators import indicators as K
 from reviewforge.operators import quality as Q
 from reviewforge.operators.ingest import RunOptions
 from reviewforge.operators import semantic as SEM
@@ -67,6 +68,8 @@ def test_pipeline_end_to_end(spark, scratch):
     assert led.groupBy("appid", "recommendationid").count().filter("count > 1").count() > 0
     wm = ST.read_watermarks(spark, paths.watermarks)
     assert wm.count() == 2 * req.count()
+    fresh = {r.appid: r.lag_minutes for r in K.freshness(wm, "2024-02-02 07:00:00", "recorded_at").collect()}
+    assert len(fresh) == req.count() and all(v == 60.0 for v in fresh.values())
     landed = ST.read_landing(spark, paths.landing)
     assert landed.count() == led.count() and set(landed.columns) == {"payload", "app_id", "load_id"}
     out = build_models(spark, paths, DecayParams().with_as_of("2024-02-01"), version="t1")
