@@ -6,9 +6,9 @@ ends it; a page whose next cursor is absent or repeats its request cursor
 yields its reviews and ends it; reading also stops past ``max_pages``
 (absolute page number, so a resumed read gets at least one page). Over
 landed pages this is one set expression per app: the first stopping page
-decides. The per-app stops are an aggregate (combined map-side, so a hot
-app costs nothing extra) joined back to the pages; no app is sent to a
-single task. Pages of an app are assumed contiguous.
+decides, and a page that was not landed ends the read before it. The
+per-app stops are aggregates (combined map-side, so a hot app costs nothing
+extra) joined back to the pages; no app is sent to a single task.
 """
 
 from __future__ import annotations
@@ -82,17 +82,27 @@ def admit_pages(
     chain_end = (
         F.col("next_cursor").isNull() | (F.col("next_cursor") == F.lit("")) | (F.col("next_cursor") == F.col("cursor"))
     )
+    # a page whose successor was not landed ends the read there (a gap)
+    landed = env.select("app_id", "page")
+    succeeded = landed.select("app_id", (F.col("page") - 1).alias("page"))
+    tails = landed.join(succeeded, ["app_id", "page"], "left_anti").groupBy("app_id").agg(
+        F.min("page").alias("stop_gap")
+    )
     stops = env.groupBy("app_id").agg(
         F.min(F.when(bad, F.col("page"))).alias("stop_bad"),
         F.min(F.when(chain_end, F.col("page"))).alias("stop_chain"),
-    )
+        F.min("page").alias("first_page"),
+    ).join(tails, "app_id")
     env = join_per_key(env, stops, "app_id")
-    keep = (F.col("stop_bad").isNull() | (F.col("page") < F.col("stop_bad"))) & (
-        F.col("stop_chain").isNull() | (F.col("page") <= F.col("stop_chain"))
+    keep = (
+        (F.col("first_page") == F.col("start_page"))  # the read's first page must be landed
+        & (F.col("page") <= F.col("stop_gap"))
+        & (F.col("stop_bad").isNull() | (F.col("page") < F.col("stop_bad")))
+        & (F.col("stop_chain").isNull() | (F.col("page") <= F.col("stop_chain")))
     )
     if max_pages is not None:
         keep = keep & (F.col("page") <= F.greatest(F.lit(int(max_pages)), F.col("start_page")))
-    drop = ["stop_bad", "stop_chain"] + (["resume_page"] if resume is not None else [])
+    drop = ["stop_bad", "stop_chain", "stop_gap", "first_page"] + (["resume_page"] if resume is not None else [])
     return env.filter(keep).drop(*drop)
 
 

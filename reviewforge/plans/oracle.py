@@ -346,11 +346,17 @@ def admitted_ctes(pages: str = "pages", name: str = "admitted", max_pages: int |
 {name}_stops as (
     select app_id,
         min(case when not success_ok or coalesce(n_reviews, 0) = 0 then page end) as stop_bad,
-        min(case when next_cursor is null or next_cursor = '' or next_cursor = cursor then page end) as stop_chain
+        min(case when next_cursor is null or next_cursor = '' or next_cursor = cursor then page end) as stop_chain,
+        min(page) as first_page
     from {name}_live group by app_id),
+{name}_gaps as (
+    select l.app_id, min(l.page) as stop_gap from {name}_live l
+    where not exists (select 1 from {name}_live n where n.app_id = l.app_id and n.page = l.page + 1)
+    group by l.app_id),
 {name} as (
-    select l.* from {name}_live l join {name}_stops s using (app_id)
-    where (stop_bad is null or page < stop_bad) and (stop_chain is null or page <= stop_chain) {cap})"""
+    select l.* from {name}_live l join {name}_stops s using (app_id) join {name}_gaps g using (app_id)
+    where first_page = start_page and page <= stop_gap
+      and (stop_bad is null or page < stop_bad) and (stop_chain is null or page <= stop_chain) {cap})"""
 
 
 def exploded_cte(src: str = "admitted", name: str = "yielded") -> str:

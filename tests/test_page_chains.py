@@ -41,6 +41,8 @@ def _random_chains(seed: int):
                 env["cursor"] = ""
             elif c > 0.10:
                 env["cursor"] = f"c{page}"
+            if rnd.random() < 0.04:
+                continue  # page not landed: a gap ends the read
             rows.append((f"a{a}", page, cursor, json.dumps(env)))
     return rows
 
