@@ -5,12 +5,49 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows of a per-key side table we are willing to ship to every executor.
-# Per-app tables are a few dozen bytes per row, so this stays far below the
-# executor memory even at the limit; past it the join shuffles both sides and
-# AQE's skew-join handling splits hot keys of the large side.
-BROADCAST_ROW_LIMIT = 2_000_000
+# Largest side table we ship to every executor. Per-app tables are a few
+# dozen bytes per row; past this bound the join shuffles both sides and AQE's
+# skew-join handling splits hot keys of the large side.
+BROADCAST_BYTE_LIMIT = 64 * 1024 * 1024
+
+_FIXED_WIDTH = {
+    T.BooleanType: 1,
+    T.ByteType: 1,
+    T.ShortType: 2,
+    T.IntegerType: 4,
+    T.DateType: 4,
+    T.FloatType: 4,
+    T.LongType: 8,
+    T.DoubleType: 8,
+    T.TimestampType: 8,
+    T.TimestampNTZType: 8,
+}
+
+
+def _size_columns(df: DataFrame) -> tuple[int, list]:
+    """Fixed bytes per row, and expressions summing the variable-width bytes."""
+    fixed, variable = 8, []  # 8: per-row overhead
+    for f in df.schema.fields:
+        width = next((w for t, w in _FIXED_WIDTH.items() if isinstance(f.dataType, t)), None)
+        if width is not None:
+            fixed += width
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            fixed += 8
+            variable.append(F.coalesce(F.sum(F.octet_length(F.col(f.name))), F.lit(0)))
+        else:  # nested values: count their JSON text
+            fixed += 8
+            variable.append(F.coalesce(F.sum(F.length(F.to_json(F.col(f.name)))), F.lit(0)))
+    return fixed, variable
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of ``df`` in bytes, measured by one aggregation (rows x fixed
+    widths plus the actual length of every string)."""
+    fixed, variable = _size_columns(df)
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[v.alias(f"v{i}") for i, v in enumerate(variable)]).first()
+    return int(row["n"]) * fixed + sum(int(row[f"v{i}"]) for i in range(len(variable)))
 
 
 def join_per_key(
@@ -18,17 +55,16 @@ def join_per_key(
     small: DataFrame,
     on: list[str] | str,
     how: str = "inner",
-    row_limit: int = BROADCAST_ROW_LIMIT,
+    byte_limit: int = BROADCAST_BYTE_LIMIT,
 ) -> DataFrame:
     """Join a large table with a derived per-key table.
 
     ``small`` is materialized once (it is needed for the size check and the
-    join alike) and counted; it is broadcast only when the count proves it
-    small. The persisted blocks are recomputed from lineage if an executor is
-    lost, so the join stays correct under failures.
+    join alike) and its size measured; it is broadcast only when the
+    measurement proves it small. The persisted blocks are recomputed from
+    lineage if an executor is lost, so the join stays correct under failures.
     """
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.count()
-    if n <= row_limit:
+    if measured_bytes(small) <= byte_limit:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

@@ -59,3 +59,27 @@ def test_gold_on_hot_app_matches_pandas(spark):
         assert r.total_reviews == len(g)
         assert math.isclose(r.edp_current, edp, rel_tol=1e-9)
         assert math.isclose(r.avg_rating, g.y.mean(), rel_tol=1e-12)
+
+
+def test_broadcast_only_below_measured_size(spark):
+    from reviewforge.plans.joins import join_per_key, measured_bytes
+
+    small = spark.createDataFrame([(f"k{i}", float(i)) for i in range(100)], "k string, v double")
+    big = spark.range(1000).select((F.col("id") % 100).cast("string").alias("n")).select(
+        F.concat(F.lit("k"), F.col("n")).alias("k")
+    )
+    size = measured_bytes(small)
+    assert 100 * 24 <= size <= 100 * 40  # fixed widths plus 2-3 byte keys
+    plan = join_per_key(big, small, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    # over the limit: no broadcast hint; with Spark's own size-based broadcast
+    # switched off the join shuffles both sides
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        over = join_per_key(big, small, "k", byte_limit=100)
+        plan = over._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        assert over.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
