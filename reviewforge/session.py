@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings every job of the library assumes. Time zone is pinned because the
@@ -18,6 +19,8 @@ SESSION_DEFAULTS = {
 }
 
 
+UTC_NAMES = {"UTC", "ETC/UTC", "Z", "GMT", "+00:00"}
+
 # Partition sizing for large inputs, used only where the cluster configuration
 # leaves them unset: AQE sizes shuffle partitions to ~256 MB after each stage
 # (so the static ``spark.sql.shuffle.partitions`` only needs to be an upper
@@ -63,24 +66,37 @@ def build_session(
 
 
 def apply_session_defaults(spark: SparkSession) -> None:
-    """Apply the runtime settings to a session created elsewhere (e.g. by a driver)."""
+    """Apply the runtime settings to a session created elsewhere (e.g. by a driver).
+
+    A setting that the session refuses (static, locked by the deployment) is
+    read back; the time zone must hold, since naive timestamps, the default
+    as-of date and day truncation are defined in UTC.
+    """
     for key, value in SESSION_DEFAULTS.items():
+        if str(spark.conf.get(key, "")).lower() == value.lower():
+            continue
         try:
             spark.conf.set(key, value)
-        except Exception:  # static or locked settings on some deployments
-            pass
+        except AnalysisException:
+            if key == "spark.sql.session.timeZone":
+                raise
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone.upper() not in UTC_NAMES:
+        raise ValueError(f"spark.sql.session.timeZone is {zone}; this library needs UTC")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local runs, tests) do we create a private scratch folder.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local master
+    (tests) may leave it unset and gets a private scratch folder; on a cluster
+    a folder of one machine would be invisible to the others, so that raises.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        master = spark.sparkContext.master
+        if not (master.startswith("local") and not master.startswith("local-cluster")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="reviewforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     if not spark.sparkContext.getCheckpointDir():
