@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, packing, token_counts, token_files
+from . import bpe_codec, language_id, packing, quality_rules, token_counts, token_files
 from .common import table
 
 
@@ -20,10 +20,18 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op4_bpe_codec, op6_best_fit_packing, op9_token_files)}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op4_bpe_codec, op6_best_fit_packing, op7_quality_rules, op9_token_files, op10_language_id)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_quality_rules": quality_rules.SQL}
