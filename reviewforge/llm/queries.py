@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, language_id, packing, quality_rules, token_counts, token_files
+from . import bpe_codec, language_id, minhash_join, packing, quality_rules, token_counts, token_files
 from .common import table
 
 
@@ -12,6 +12,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op2_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op4_bpe_codec, op6_best_fit_packing, op7_quality_rules, op9_token_files, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_minhash_join, op4_bpe_codec, op6_best_fit_packing, op7_quality_rules, op9_token_files, op10_language_id)}
 
 ORACLE: dict[str, str] = {"op7_quality_rules": quality_rules.SQL}
