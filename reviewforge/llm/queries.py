@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, language_id, minhash_join, packing, quality_rules, token_counts, token_files
+from . import bpe_codec, language_id, minhash_join, packing, quality_rules, suffix_dedup, token_counts, token_files
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_minhash_join, op4_bpe_codec, op6_best_fit_packing, op7_quality_rules, op9_token_files, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_minhash_join, op4_bpe_codec, op5_suffix_dedup, op6_best_fit_packing, op7_quality_rules, op9_token_files, op10_language_id)}
 
 ORACLE: dict[str, str] = {"op7_quality_rules": quality_rules.SQL}
