@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, language_id, minhash_join, packing, quality_rules, suffix_dedup, token_counts, token_files
+from . import bpe_codec, embedding_join, html_content, language_id, minhash_join, packing, quality_rules, suffix_dedup, token_counts, token_files
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op2_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_epsilon_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op8_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_content.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"))
 
@@ -40,6 +48,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_minhash_join, op4_bpe_codec, op5_suffix_dedup, op6_best_fit_packing, op7_quality_rules, op9_token_files, op10_language_id)}
-
-ORACLE: dict[str, str] = {"op7_quality_rules": quality_rules.SQL}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_counts,
+        op2_minhash_join,
+        op3_epsilon_grid_join,
+        op4_bpe_codec,
+        op5_suffix_dedup,
+        op6_best_fit_packing,
+        op7_quality_rules,
+        op8_html_content,
+        op9_token_files,
+        op10_language_id,
+    )
+}
+
+ORACLE: dict[str, str] = {"op3_epsilon_grid_join": embedding_join.SQL, "op7_quality_rules": quality_rules.SQL}
