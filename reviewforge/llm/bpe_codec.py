@@ -122,7 +122,7 @@ def encode(docs: DataFrame, path: str | None = None, doc_col: str = "doc_id", te
         ids = [c.encode(t) for t in cols["text"]]
         return {"doc_id": cols["doc_id"], "ids": ids, "decoded": [c.decode(x) for x in ids]}
 
-    rows = docs.select(docs[doc_col].alias("doc_id"), docs[text_col].alias("text"))
+    rows = docs.select(docs[doc_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     return map_batches(rows, run, "doc_id long, ids array<int>, decoded string")
 
 
@@ -143,5 +143,5 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
             out["decoded_sha256"].append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
         return out
 
-    rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     return map_batches(rows, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -190,7 +190,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, id_col: str = "vec
     odd = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == math.inf))
     usable = vectors[label_col].isNotNull() & vectors[id_col].isNotNull() & F.coalesce(~odd & F.exists(vector, lambda x: x != 0), F.lit(False))
     label = vectors[label_col].cast("string")
-    rows = vectors.select(vectors[id_col].alias("vec_id"), label.alias("label"), vector.alias("vector"), F.when(usable, F.xxhash64(label, vector)).alias("node"))
+    rows = vectors.select(vectors[id_col].cast("long").alias("vec_id"), label.alias("label"), vector.alias("vector"), F.when(usable, F.xxhash64(label, vector)).alias("node"))
     nodes = stored(_nodes(rows), "vectors")
     directions = fit_directions(nodes)
     found = compare(grid_blocks(nodes, math.sqrt(2 - 2 * cosine), directions), cosine, directions)

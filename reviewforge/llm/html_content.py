@@ -285,5 +285,5 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         texts = [main_text(p) for p in cols["html"]]
         return {"page_id": cols["page_id"], "url": cols["url"], "text": texts, "n_chars": [len(t) for t in texts]}
 
-    rows = pages.select(pages[id_col].alias("page_id"), pages[url_col].alias("url"), pages[html_col].alias("html"))
+    rows = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].alias("url"), pages[html_col].alias("html"))
     return map_batches(rows, run, "page_id long, url string, text string, n_chars long")

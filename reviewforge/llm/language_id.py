@@ -27,6 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import python_ready
 
@@ -148,17 +149,22 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     return Model(np.array([x[i] for i in rank]).reshape(len(x), COLUMNS), np.array([names[i] for i in rank], dtype=object))
 
 
-def identify(docs: DataFrame, per_language: int = PER_LANGUAGE, model: Model | None = None) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) for every row of ``docs``; fitted on its labelled rows unless a model is given."""
+def identify(docs: DataFrame, per_language: int = PER_LANGUAGE, model: Model | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score) for every row of ``docs``, after the columns ``keep`` of ``docs`` as a struct ``own``.
+
+    Fitted on the labelled rows unless a model is given.
+    """
     model = model or fit(docs, per_language)
     python_ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.predict(t) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([p[0] for p in found], pa.string()), pa.array([p[1] for p in found], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"]
-            )
+            found = [model.predict(t) for t in batch.column("text").to_pylist()]
+            kept = batch.select([c for c in batch.schema.names if c != "text"])
+            yield kept.append_column("lang_pred", pa.array([p[0] for p in found], pa.string())).append_column("score", pa.array([p[1] for p in found], pa.float64()))
 
     held = F.coalesce(F.crc32(docs["doc_id"].cast("string")) % 5 == 0, F.lit(False))
-    return docs.select(docs["doc_id"].alias("doc_id"), held.alias("held_out"), docs["text"].alias("text")).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    own = [F.struct(*[docs[c] for c in keep]).alias("own")] if keep else []
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), held.alias("held_out"), docs["text"].alias("text"), *own)
+    schema = StructType([f for f in rows.schema if f.name != "text"] + [StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return rows.mapInArrow(run, schema)

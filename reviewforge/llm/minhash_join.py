@@ -126,7 +126,7 @@ def describe(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text") -
             )
 
     python_ready(docs.sparkSession)
-    rows = docs.select(docs[doc_col].alias("doc_id"), docs[text_col].alias("text"))
+    rows = docs.select(docs[doc_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_shingles long, node long, twin long, sig binary")
 
 
@@ -275,7 +275,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_col: str = "doc_id",
     nodes = stored(linked.groupBy("node", "twin").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")), "nodes")
     members = _members(nodes)
     wanted = nodes.join(members.select("node").distinct(), "node").select("doc_id", "node", "twin")
-    sets = _sets(docs.select(docs[doc_col].alias("doc_id"), docs[text_col].alias("text")), wanted)
+    sets = _sets(docs.select(docs[doc_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), wanted)
 
     links = _confirmed(_close(_star_pairs(_labelled(members, None), "node"), nodes), sets, percent)
     labelled = stored(_labelled(members, links), "labelled")

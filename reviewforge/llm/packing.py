@@ -62,7 +62,7 @@ def pieces(docs: DataFrame, size: int, end_id: int, tokenizer: str, doc_col: str
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "rank"])
 
     python_ready(docs.sparkSession)
-    return stored(docs.select(docs[doc_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, PIECE), "pieces")
+    return stored(docs.select(docs[doc_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, PIECE), "pieces")
 
 
 def best_two_fit(counts: dict[int, int], size: int) -> list[tuple[int, list[int]]]:

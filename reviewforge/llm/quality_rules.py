@@ -70,12 +70,15 @@ def _characters(text: Column, of: str) -> Column:
     return F.length(text) - F.length(F.translate(text, of, ""))
 
 
-def measured(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id and the counts) of every row."""
+def measured(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id and the counts) of every row; the columns ``keep`` of ``docs`` as a struct ``own``, if any."""
+    own = [F.struct(*[docs[c] for c in keep]).alias("own")] if keep else []
+    carried = ["own"] if keep else []
     text = F.coalesce(docs[text_col], F.lit(""))
     stop = sorted({w for words in STOP_WORDS.values() for w in words.split()})
     split = docs.select(
-        docs[doc_col].alias("doc_id"),
+        docs[doc_col].cast("long").alias("doc_id"),
+        *own,
         text.alias("t"),
         F.filter(F.split(text, SPLIT), lambda w: w != "").alias("words"),
         F.filter(F.split(text, "\n"), lambda line: F.length(F.translate(line, SPACE, "")) > 0).alias("lines"),
@@ -83,6 +86,7 @@ def measured(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text") -
     n = F.size("words")
     hashed = split.select(
         "doc_id",
+        *carried,
         n.cast("long").alias("n_words"),
         F.length(F.translate("t", SPACE, "")).cast("long").alias("word_chars"),
         _characters(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"),
@@ -107,16 +111,26 @@ def measured(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text") -
     return placed.select("*", F.coalesce(total, F.lit(0).cast("long")).alias("n_repeat_words")).drop("starts")
 
 
-def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, min_words: int = 20, max_repeat_percent: int = 30, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The counts of every row, ``base_failed`` and ``kept``."""
-    counts = measured(docs, doc_col, text_col)
+def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, min_words: int = 20, max_repeat_percent: int = 30, doc_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """The counts of every row, ``base_failed`` and ``kept``; see :func:`measured` for ``keep``."""
+    counts = measured(docs, doc_col, text_col, keep)
     base = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_percent)
     verdict = reduce(lambda a, b: a & b, map(holds, rules), F.lit(True))
     return counts.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_marks", "n_stop_words", "n_lines", base.alias("base_failed"), (~base & verdict).alias("kept")
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_marks", "n_stop_words", "n_lines", base.alias("base_failed"), (~base & verdict).alias("kept"), *(["own"] if keep else [])
     )
 
 
+def passing(docs: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The ``columns`` of the rows that are kept.
+
+    The row number keeps the filter above the counts: pushed below, the
+    predicate would repeat every expression that it is made of.
+    """
+    judged = judge(docs, keep=columns).select("kept", "own", F.monotonically_increasing_id().alias("row"))
+    return judged.where("kept and row >= 0").select("own.*")
+
+
 def _sql() -> str:
     """DuckDB SQL for :func:`judge` over ``documents``, by joins over unnested words instead of arrays."""
     stop = ", ".join(f"'{w}'" for w in sorted({w for words in STOP_WORDS.values() for w in words.split()}))

@@ -337,7 +337,7 @@ def remove_repeats(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     python_ready(spark)
     spans, touched = repeated_spans(docs, text_col)
-    rows = docs.select(docs[doc_col].alias("doc_id"), docs[text_col].alias("text"), *[docs[c].alias(f"own_{c}") for c in keep])
+    rows = docs.select(docs[doc_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), *[docs[c].alias(f"own_{c}") for c in keep])
     own = ", ".join(f"own_{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,7 +345,7 @@ def remove_repeats(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "te
             data = [(t or "").encode() for t in batch.column("text").to_pylist()]
             yield batch.append_column("tid", pa.array([text_id(d) for d in data], pa.int64())).append_column("n", pa.array([len(d) for d in data], pa.int64()))
 
-    known = rows.mapInArrow(named, f"doc_id {docs.schema[doc_col].dataType.simpleString()}, text string{', ' + own if own else ''}, tid long, n long")
+    known = rows.mapInArrow(named, f"doc_id long, text string{', ' + own if own else ''}, tid long, n long")
     # The one shuffle of texts: texts without a repeated gram are finished here.
     placed = stored(known.join(touched.withColumn("touched", F.lit(True)), ["tid", "n"], "left"), "texts")
 
@@ -389,7 +389,7 @@ def remove_repeats(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "te
             own_columns = [batch.column(i) for i, name in enumerate(batch.schema.names) if name == "doc_id" or name.startswith("own_")]
             yield pa.RecordBatch.from_arrays(own_columns + [pa.array([r[k] for r in out], f.type) for k, f in enumerate(tail)], names=["doc_id", *[f"own_{c}" for c in keep], *[f.name for f in tail]])
 
-    fields = f"doc_id {docs.schema[doc_col].dataType.simpleString()}, " + (own + ", " if own else "") + "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string" if with_text else "")
+    fields = f"doc_id long, " + (own + ", " if own else "") + "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string" if with_text else "")
     order = ["doc_id", *[f"own_{c}" for c in keep], "text"]
     hit = placed.where("touched").join(merged, ["tid", "n"], "left").select(*order, "spans")
     clean = placed.where("touched is null").select(*order, F.lit(None).cast(merged.schema["spans"].dataType).alias("spans"))

@@ -98,5 +98,5 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 1024, do
         tokens = [count(t) for t in cols["text"]]
         return {"doc_id": cols["doc_id"], "n_bytes": [len(t.encode()) if t else 0 for t in cols["text"]], "n_tokens": tokens, "over_limit": [n > limit for n in tokens]}
 
-    rows = docs.select(docs[doc_col].alias("doc_id"), docs[text_col].alias("text"))
+    rows = docs.select(docs[doc_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     return map_batches(rows, run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

@@ -222,7 +222,7 @@ def write_token_files(
         if held:
             yield flush()
 
-    ranged = docs.select(docs[doc_col].alias("doc_id"), docs[text_col].alias("text")).repartitionByRange("doc_id")
+    ranged = docs.select(docs[doc_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).repartitionByRange("doc_id")
     ranged.sortWithinPartitions("doc_id", "text").mapInArrow(write, MANIFEST).write.parquet(f"{path}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
 
