@@ -77,47 +77,64 @@ def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
+def nearest(edges: DataFrame, *salt: int) -> DataFrame:
+    """(node, up): the node of each neighbourhood, itself included, that has the smallest hash."""
+    rank = lambda c: F.struct(F.xxhash64(F.col(c), *map(F.lit, salt)).alias("h"), F.col(c).alias("n"))
+    both = edges.select("a", rank("b").alias("r")).unionByName(edges.select(F.col("b").alias("a"), rank("a").alias("r")))
+    best = both.groupBy(F.col("a").alias("node")).agg(F.min("r").alias("r"))
+    return best.select("node", F.least(F.col("r"), rank("node"))["n"].alias("up"))
+
+
+def _contracted(edges: DataFrame, point: DataFrame) -> DataFrame:
+    """The edges between the nodes that ``point`` (node, up) points at; a node that it lacks stays."""
+    return (
+        edges.join(point.select(F.col("node").alias("a"), F.col("up").alias("x")), "a", "left")
+        .join(point.select(F.col("node").alias("b"), F.col("up").alias("y")), "b", "left")
+        .select(F.coalesce("x", "a").alias("x"), F.coalesce("y", "b").alias("y"))
+        .where("x <> y")
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        .distinct()
+    )
+
+
+def _followed(first: DataFrame, then: DataFrame) -> DataFrame:
+    """(node, up) by ``first`` and from there by ``then``, where it goes on."""
+    return first.join(then.select(F.col("node").alias("up"), F.col("up").alias("root")), "up", "left").select("node", F.coalesce("root", "up").alias("up"))
+
+
 def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """(node, component): the smallest node reachable, for every node that has an edge.
+    """(node, up): one node of its component, for every node that has an edge.
 
     ``edges`` has long columns ``a`` and ``b``; direction, repeats and loops do
     not matter. In each round every node points at the node of its
-    neighbourhood (itself included) with the smallest hash, and the graph is
-    contracted along these pointers. The hash changes with the round, so a
-    constant share of the nodes goes in each round whatever the shape (chains
-    in id order included). The pointers are then composed, last round first,
-    and each tree takes its smallest node as its name. Minima are combined
-    before the shuffle, so a node with very many neighbours is no hot group;
-    the joins are plain equi-joins that AQE can split. Each round is written
-    to the shared folder, which cuts the lineage.
+    neighbourhood with the smallest hash, and the graph is contracted along
+    these pointers. The hash changes with the round, so a constant share of the
+    nodes goes in each round whatever the shape (chains in id order included);
+    stars around their smallest hash go in the first. The pointers are then
+    composed, last round first. Minima are combined before the shuffle, so a
+    node with very many neighbours is no hot group; the joins are plain
+    equi-joins that AQE can split. Each round is written to the shared folder,
+    which cuts the lineage.
     """
-    edges = stored(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     pointers: list[DataFrame] = []
+    edges = edges.where("a <> b")
     for turn in range(max_rounds):
-        if edges.isEmpty():
+        point = stored(nearest(edges, *[turn] * (turn > 0)), "pointers")
+        if turn and point.isEmpty():
             break
-        rank = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(turn)).alias("h"), F.col(c).alias("n"))
-        both = edges.select("a", rank("b").alias("r")).unionByName(edges.select(F.col("b").alias("a"), rank("a").alias("r")))
-        best = both.groupBy(F.col("a").alias("node")).agg(F.min("r").alias("r"))
-        point = stored(best.select("node", F.least(F.col("r"), rank("node"))["n"].alias("up")), "pointers")
         pointers.append(point)
-        edges = stored(
-            edges.join(point.select(F.col("node").alias("a"), F.col("up").alias("x")), "a")
-            .join(point.select(F.col("node").alias("b"), F.col("up").alias("y")), "b")
-            .where("x <> y")
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-            .distinct(),
-            "edges",
-        )
+        edges = stored(_contracted(edges, point), "edges")
     else:
         raise RuntimeError("the components did not settle")
-    if not pointers:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     # A node that a round points at lives on in the next round, or is the root of its tree.
-    roots = pointers[-1].select("node", F.col("up").alias("root"))
+    roots = pointers[-1]
     for point in reversed(pointers[:-1]):
-        known = roots.select(F.col("node").alias("up"), "root")
-        roots = point.join(known, "up", "left").select("node", F.coalesce("root", "up").alias("root"))
-    roots = stored(roots, "roots")
-    names = roots.groupBy("root").agg(F.min("node").alias("component"))
-    return roots.join(names, "root").select("node", "component")
+        roots = _followed(point, roots)
+    return stored(roots, "roots") if len(pointers) > 1 else roots
+
+
+def extended(known: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, up) of the components of ``known`` (node, up) with more ``edges``."""
+    more = components(stored(_contracted(edges, known), "edges"))
+    told = _followed(known, more)
+    return told.unionByName(more.join(known.select("node"), "node", "left_anti"))

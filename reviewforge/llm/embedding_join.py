@@ -196,7 +196,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, id_col: str = "vec
     found = compare(grid_blocks(nodes, math.sqrt(2 - 2 * cosine), directions), cosine, directions)
     linked = nodes.select("node", "weight").join(found.where("links is not null").groupBy("node").agg(F.sum("links").alias("links")), "node", "left")
     tied = components(found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
-    told = linked.join(tied, "node", "left").select("node", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).cast("long").alias("links"), F.coalesce("component", "node").alias("root"))
+    told = linked.join(tied, "node", "left").select("node", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).cast("long").alias("links"), F.coalesce("up", "node").alias("root"))
     placed = rows.select("vec_id", "node").join(told, "node", "left")
     least = placed.where("root is not null").groupBy("root").agg(F.min("vec_id").alias("least"))
     return placed.join(least, "root", "left").select(

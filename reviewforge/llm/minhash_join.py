@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import Memo
-from .common import components, python_ready, stored
+from .common import components, extended, nearest, python_ready, stored
 
 SHINGLE = 5
 VALUES, INDEXED, CHUNK = 128, 50, 5
@@ -187,10 +187,10 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return stored(docs.join(wanted, "doc_id").select("node", "twin", "text").mapInArrow(run, "node long, shingles binary"), "sets")
 
 
-def _labelled(members: DataFrame, links: DataFrame | None) -> DataFrame:
-    if links is None:
-        return members.withColumn("part", F.col("node"))
-    return members.join(components(links), "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+def _labelled(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """``members`` with the name of their part: nodes of a part are known to be connected."""
+    told = parts.select("node", F.col("up").alias("part"))
+    return stored(members.join(told, "node", "left").withColumn("part", F.coalesce("part", "node")), "labelled")
 
 
 def _open(labelled: DataFrame, *more) -> DataFrame:
@@ -277,13 +277,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_col: str = "doc_id",
     wanted = nodes.join(members.select("node").distinct(), "node").select("doc_id", "node", "twin")
     sets = _sets(docs.select(docs[doc_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), wanted)
 
-    links = _confirmed(_close(_star_pairs(_labelled(members, None), "node"), nodes), sets, percent)
-    labelled = stored(_labelled(members, links), "labelled")
-    links = links.unionByName(_confirmed(_close(_star_pairs(labelled, "node", "key"), nodes), sets, percent))
-    labelled = stored(_labelled(members, links), "labelled")
-    links = links.unionByName(_confirmed(_block_pairs(labelled, nodes), sets, percent))
-
-    known = components(links).select("node", F.col("component").alias("found"))
+    alone = members.withColumn("part", F.col("node"))
+    first = _confirmed(_close(_star_pairs(alone, "node"), nodes), sets, percent)
+    # Any connected parts will do to leave out pairs here; the components come after the second comparison.
+    second = _confirmed(_close(_star_pairs(_labelled(members, nearest(first)), "node", "key"), nodes), sets, percent)
+    parts = components(first.unionByName(second))
+    third = _confirmed(_block_pairs(_labelled(members, parts), nodes), sets, percent)
+    known = extended(parts, third).select("node", F.col("up").alias("found"))
     own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("found", "node"))
     rooted = rows.select("doc_id", "n_shingles", "node").join(known, "node", "left").withColumn("root", own)
     names = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
