@@ -23,6 +23,7 @@ are read.
 from __future__ import annotations
 
 import bisect
+import functools
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -34,13 +35,39 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe_codec import codec
+from .bpe import Memo, byte_chars, library
+from .bpe_codec import Codec
 from .common import python_ready, stored
 
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long, task int, rank long"
 SLOT = "length int, first long, stop long, per int, bin long, place int"
 
 
+class Encoder(Codec):
+    """Whole texts to ids; each distinct word is encoded once by the tokenizers library's model."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.model, self.chars = library(path).model, dict(enumerate(byte_chars()))
+        self.packed = Memo(lambda piece: np.array(self.of_piece(piece), "<u4").tobytes(), 300_000)
+
+    def of_bytes(self, data: bytes) -> tuple[int, ...]:
+        return tuple(t.id for t in self.model.tokenize(data.decode("latin-1").translate(self.chars)))
+
+    def __call__(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if self.special.search(text):
+            return np.array(self.encode(text), "<u4").tobytes()
+        return b"".join(map(self.packed.__getitem__, text.split(" ")))
+
+
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """One per Python worker process, so that its memos serve all tasks."""
+    return Encoder(path)
+
+
 def pieces(docs: DataFrame, size: int, end_id: int, tokenizer: str, doc_col: str, text_col: str) -> DataFrame:
     """The pieces of every document, with the task that made them and their rank within (task, length).
 
@@ -48,15 +75,16 @@ def pieces(docs: DataFrame, size: int, end_id: int, tokenizer: str, doc_col: str
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, seen, encode = TaskContext.get().partitionId(), Counter(), codec(tokenizer).encode
+        task, seen, encode = TaskContext.get().partitionId(), Counter(), encoder(tokenizer)
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                data = np.array([*encode(text), end_id], "<u4")
-                for k in range(0, len(data), size):
-                    part = data[k : k + size]
-                    rows.append((doc, k // size, k, len(part), zlib.crc32(part.tobytes()), task, seen[len(part)]))
-                    seen[len(part)] += 1
+                data = encode(text) + np.array([end_id], "<u4").tobytes()
+                for k in range(0, len(data) // 4, size):
+                    part = data[4 * k : 4 * (k + size)]
+                    length = len(part) // 4
+                    rows.append((doc, k // size, k, length, zlib.crc32(part), task, seen[length]))
+                    seen[length] += 1
             if rows:
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "rank"])

@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import BYTE_PRETOKEN, Memo, library, pattern, unassigned, vocabulary
+from .bpe import BYTE_PRETOKEN, Memo, byte_chars, library, pattern, unassigned, vocabulary
 from .common import python_ready, work_path
 
 MAGIC = b"TOKPACK1"
@@ -133,9 +133,9 @@ class TokenFile:
 class Encoder:
     """Whole texts to ids by the tokenizers library.
 
-    The library encodes each distinct pre-token once and the ids are kept in a
-    bounded memo, since text repeats its words; texts with special strings or
-    runs of white space go to the library whole.
+    The library's model encodes each distinct pre-token once and the ids are
+    kept in a bounded memo, since text repeats its words; texts with special
+    strings or runs of white space go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -143,12 +143,18 @@ class Encoder:
         self.find = pattern(BYTE_PRETOKEN).findall
         self.space = pattern(r"\s")
         self.special = list(vocabulary(path)["added"])
-        self.pretokens = Memo(self.whole, PRETOKENS)
+        self.model = self.lib.model
+        self.chars = dict(enumerate(byte_chars()))
+        self.pretokens = Memo(self.of_pretoken, PRETOKENS)
         self.pieces = Memo(self.of_piece, PIECES)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def of_pretoken(self, word: str) -> bytes:
+        mapped = word.encode().decode("latin-1").translate(self.chars)
+        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+
     def of_piece(self, piece: str) -> bytes | None:
         """Ids of a space and ``piece``; None if a cut at that space is not certain (see operator 1)."""
         if not piece or self.space.match(piece) or self.space.match(piece[-1]):
