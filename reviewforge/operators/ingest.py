@@ -136,8 +136,10 @@ def ingest(
         reviews = checked.filter(F.col("violations") == F.lit("")).drop("violations")
         quarantine = bad
     else:
+        # Without the contract an element that is no object still can't land.
         checked = None
-        quarantine = reviews.limit(0).withColumn("violations", F.lit(""))
+        quarantine = with_violations(reviews.filter(~P.is_object(F.col("review"))))
+        reviews = reviews.filter(P.is_object(F.col("review")))
     return IngestResult(
         reviews=reviews,
         quarantine=quarantine,

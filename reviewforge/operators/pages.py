@@ -29,6 +29,8 @@ ENVELOPE_SCHEMA = T.StructType(
     ]
 )
 
+# The members that a run sets on every review.
+LINEAGE_KEYS = ("app_id", "page", "cursor", "fetched_at")
 # The accepted review filters of the API.
 REVIEW_TYPES = ("all", "positive", "negative")
 PURCHASE_TYPES = ("all", "steam", "non_steam")
@@ -120,18 +122,32 @@ def _lineage_suffix() -> Column:
     return js.substr(F.lit(2), F.length(js))
 
 
+def is_object(review: Column) -> Column:
+    """Whether a review element is a JSON object."""
+    return F.json_object_keys(review).isNotNull()
+
+
+def _own_members(review: Column) -> Column:
+    """The review's text without members that the run adds itself; only a
+    review that carries one of them is parsed and written anew."""
+    clash = F.arrays_overlap(F.json_object_keys(review), F.array(*map(F.lit, LINEAGE_KEYS)))
+    members = F.from_json(review, T.MapType(T.StringType(), T.VariantType()))
+    return F.when(clash, F.to_json(F.map_filter(members, lambda k, _: ~k.isin(*LINEAGE_KEYS)))).otherwise(review)
+
+
 def explode_reviews(admitted: DataFrame) -> DataFrame:
     """One row per review of the admitted pages, with its position and the
-    landed payload: the review object plus ``app_id``, ``page``, ``cursor``
-    (the request cursor) and ``fetched_at``."""
+    landed payload: the review object with ``app_id``, ``page``, ``cursor``
+    (the request cursor) and ``fetched_at`` set. An element that is no object
+    has no payload."""
     rows = admitted.select(
         "app_id", "page", "cursor", "fetched_at", F.posexplode("reviews").alias("pos", "review")
     )
-    review = F.col("review")
+    review = _own_members(F.col("review"))
     body = F.regexp_replace(review, r"\}\s*$", "")
     empty = review.rlike(r"^\s*\{\s*\}\s*$")
     payload = F.concat(body, F.when(empty, F.lit("")).otherwise(F.lit(",")), _lineage_suffix())
-    return rows.withColumn("payload", payload)
+    return rows.withColumn("payload", F.when(is_object(F.col("review")), payload))
 
 
 def filter_reviews(

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import written
+
 # Largest side table we ship to every executor. Per-app tables are a few
-# dozen bytes per row; past this bound the join shuffles both sides and AQE's
-# skew-join handling splits hot keys of the large side.
+# dozen bytes per row; past this bound the join shuffles both sides by key and
+# salt.
 BROADCAST_BYTE_LIMIT = 64 * 1024 * 1024
+SALTS = 32
 
 _FIXED_WIDTH = {
     T.BooleanType: 1,
@@ -56,15 +58,29 @@ def join_per_key(
     on: list[str] | str,
     how: str = "inner",
     byte_limit: int = BROADCAST_BYTE_LIMIT,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Join a large table with a derived per-key table.
 
-    ``small`` is materialized once (it is needed for the size check and the
-    join alike) and its size measured; it is broadcast only when the
-    measurement proves it small. The persisted blocks are recomputed from
-    lineage if an executor is lost, so the join stays correct under failures.
+    ``small`` is written once to the shared folder (it is needed for the size
+    check and the join alike) and its size measured; it is broadcast only when
+    the measurement proves it small. Beyond that both sides are shuffled by the
+    key and a salt: the rows of a key are dealt over ``salts`` partitions by a
+    hash of the whole row, and each per-key row is repeated for every salt.
+    What follows by key then combines within those partitions first, so a key
+    with a third of all rows is never in one task.
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    keys = [on] if isinstance(on, str) else list(on)
+    small = written(small, "per-key")
     if measured_bytes(small) <= byte_limit:
         return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*[_hashable(f) for f in big.schema.fields]), F.lit(salts)).cast("int"))
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
+def _hashable(field: T.StructField):
+    """A column that xxhash64 takes (it takes no maps and variants)."""
+    if isinstance(field.dataType, (T.MapType, T.VariantType)):
+        return F.lit(0)
+    return F.col(field.name)

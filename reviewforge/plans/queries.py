@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..operators import compaction, enrich, metrics
 from ..params import DecayParams
-from ..session import apply_session_defaults, checkpoint_dir
+from ..session import apply_session_defaults, checkpoint_dir, written
 from ..sources import fixtures
 from . import oracle as O
 
@@ -211,8 +211,7 @@ def pages(spark: SparkSession, sf_dir: str, with_defects: bool = False) -> DataF
     """Fixture P, materialized once like the landed-pages table it stands for
     (ingest reads it several times: stops, resume, explode)."""
     _prep(spark)
-    checkpoint_dir(spark)
-    return fixtures.page_envelopes(spark, sf_dir, with_defects).checkpoint(eager=True)
+    return written(fixtures.page_envelopes(spark, sf_dir, with_defects), "pages")
 
 
 def _yielded(spark, sf_dir, with_defects=False, max_pages=None, resume=None):
@@ -361,8 +360,7 @@ def _dq(test: str):
     def fn(spark, sf_dir):
         # the ledger feeds four layers here: materialize it once, as the
         # stored ledger table would be
-        checkpoint_dir(spark)
-        raw = ledger(spark, sf_dir).checkpoint(eager=True)
+        raw = written(ledger(spark, sf_dir), "ledger")
         comp = compaction.compact_latest(raw)
         s = enrich.enrich(comp)
         g = gold_from_silver(s, BASE_PARAMS)
@@ -488,39 +486,17 @@ def q_drift_keys(spark, sf_dir):
     return K.drift_keys(ledger(spark, sf_dir))
 
 
-_UPSERT_OUT = ["app_id", "recommendationid", "review_updated_at", "voted_up", "bronze_load_id"]
-
-
+# The oracle knows nothing of the merge: it compacts both loads together.
 @register(
     "incremental_upsert",
-    _with(
-        O.ledger_cte(),
-        "l1 as (select * from ledger where load_id = 'L1')",
-        "l2 as (select * from ledger where load_id = 'L2')",
-        O.compacted_cte(src="l1", name="l1c"),
-        O.enriched_cte(src="l1c", name="existing"),
-        O.enriched_cte(src="l2", name="batch"),
-        """wm as (select max(greatest(review_created_at, review_updated_at)) as wm from existing)""",
-        """incoming as (select * from (select *, row_number() over (partition by app_id, recommendationid
-            order by record_changed_at desc nulls last, bronze_ingested_at desc nulls last,
-                     bronze_load_id desc nulls last, bronze_hash_payload desc nulls last) as rn
-        from batch where greatest(review_created_at, review_updated_at) > (select wm from wm)) where rn = 1)""",
-    )
-    + f"""select {', '.join(_UPSERT_OUT)} from existing e
-where not exists (select 1 from incoming i where i.app_id = e.app_id and i.recommendationid = e.recommendationid)
-union all select {', '.join(_UPSERT_OUT)} from incoming""",
+    _with(O.ledger_cte(), O.compacted_cte(), O.enriched_cte()) + "select * from silver",
 )
 def q_incremental_upsert(spark, sf_dir):
     raw = ledger(spark, sf_dir)
-    checkpoint_dir(spark)
-    # the stored table and the staged batch are materialized, as they would be
-    # on disk, so filters run over columns rather than re-parsing payloads
-    cols = _UPSERT_OUT + ["review_created_at", "record_changed_at", "bronze_ingested_at", "bronze_hash_payload"]
-    existing = enrich.enrich(compaction.compact_latest(raw.filter(F.col("load_id") == "L1")))
-    batch = enrich.enrich(raw.filter(F.col("load_id") == "L2"))
-    existing = existing.select(*cols).checkpoint(eager=True)
-    batch = batch.select(*cols).checkpoint(eager=True)
-    return K.incremental_upsert(existing, batch).select(*_UPSERT_OUT)
+    # the stored table and the staged batch are written, as they would be in production
+    existing = written(enrich.enrich(compaction.compact_latest(raw.filter(F.col("load_id") == "L1"))), "silver")
+    batch = written(enrich.enrich(raw.filter(F.col("load_id") == "L2")), "batch")
+    return round_doubles(K.incremental_upsert(existing, batch))
 
 
 # ----------------------------------------------------------------- storage

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of the library assumes. Time zone is pinned because the
 # day truncation of change times and the epoch conversions are defined in UTC.
@@ -102,3 +103,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(configured)
     return configured
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: cuts lineage like a checkpoint, but keeps column pruning and pushdown."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import epoch_to_timestamp, json_bool_text, timestamp_to_epoch_seconds
 from ..operators.sequence import number_within
+from ..plans.joins import join_per_key
 
 
 # Fixed values of the fixture definitions (FIXTURES.md section 3).
@@ -26,29 +27,15 @@ FIXTURE_AS_OF = "2001-12-31"  # every ship date is before it, at every scale fac
 FIXTURE_AS_OF_EPOCH = (_dt.date(2001, 12, 31) - _dt.date(1970, 1, 1)).days * 86400
 FIXTURE_INGESTED_ON = "2002-01-01"  # load L1; load L2 one day later
 APP_MODULUS = 300
-PAGE_APP_MODULUS = 20
 PAGE_SIZE = 5
 PAGES_FETCHED_AT = "2024-02-01T00:00:00"
-EMPTY_APP_ID = "20"
+EMPTY_APP_ID = "-1"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a single-file input over the cluster's cores.
-
-    A scan splits a Parquet file only at row-group boundaries, so a one-file
-    table may arrive in one task and leave the heavy projections after it on
-    one core. Multi-file inputs (the large case) are split by the scan already
-    and pass through unchanged.
-    """
-    if len(df.inputFiles()) > 1:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def _kv(key: str, value: Column) -> Column:
     return F.concat(F.lit(f'"{key}":'), value)
 
@@ -157,7 +144,7 @@ def review_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     age_seconds = F.datediff(F.lit(FIXTURE_AS_OF).cast("date"), F.col("l_shipdate")).cast("long") * F.lit(86400)
     scaled = F.floor(age_seconds * (F.col("l_partkey") % APP_MODULUS + 1) / APP_MODULUS)
-    li = spread(li).withColumn("_created_epoch", (F.lit(FIXTURE_AS_OF_EPOCH) - scaled).cast("long"))
+    li = li.withColumn("_created_epoch", (F.lit(FIXTURE_AS_OF_EPOCH) - scaled).cast("long"))
     return _ledger_rows(li, 1).unionByName(_ledger_rows(li, 2))
 
 
@@ -165,16 +152,13 @@ def review_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Fixture P: page envelopes
 # --------------------------------------------------------------------------
 
-# Stop case of app k is k % 5 (0 none, 1 success=2 on page 4,
-# 2 empty page 3, 3 next cursor absent on page 5, 4 next cursor repeated on
-# page 6). Contract defects hit rows with event_id % 11 == 0, kind
-# (event_id // 11) % 6: 0 missing voted_up, 1 votes_up -1, 2 steam_purchase
-# "yes", 3 review 42, 4 language null, 5 author 5. Event 1 has no
-# recommendationid.
-STOP_SUCCESS_PAGE = 4
-STOP_EMPTY_PAGE = 3
-STOP_NO_CURSOR_PAGE = 5
-STOP_SAME_CURSOR_PAGE = 6
+# An app per user; k is the app's number. One app in five stops,
+# at its last page but one (page 2 at least), by case k % 20: 1 success=2,
+# 2 empty page, 3 next cursor absent, 4 next cursor repeated. Contract defects
+# hit rows with event_id % 11 == 0, kind (event_id // 11) % 6: 0 missing
+# voted_up, 1 votes_up -1, 2 steam_purchase "yes", 3 review 42, 4 language
+# null, 5 author 5. Event 1 has no recommendationid.
+STOP_MODULUS = 20
 DEFECT_MODULUS = 11
 NULL_KEY_EVENT = 1
 
@@ -217,26 +201,29 @@ def page_envelopes(spark: SparkSession, sf_dir: str, with_defects: bool = False)
     envelope of a page gathers at most five reviews.
     """
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    ev = ev.withColumn("app_id", _txt(F.col("user_id") % PAGE_APP_MODULUS))
+    ev = ev.withColumn("app_id", _txt(F.col("user_id")))
+    last = ev.groupBy("app_id").agg(F.ceil(F.count(F.lit(1)) / PAGE_SIZE).cast("int").alias("last_page"))
     ev = number_within(ev, ["app_id"], ["ts", "event_id"], out="rn")
     ev = ev.withColumn("page", (F.floor((F.col("rn") - 1) / PAGE_SIZE) + 1).cast("int"))
     ev = ev.withColumn("review", _review_payload(with_defects))
     pages = ev.groupBy("app_id", "page").agg(
         F.array_sort(F.collect_list(F.struct("rn", "review"))).alias("items")
     )
+    pages = join_per_key(pages, last, "app_id")
     page = F.col("page")
-    case = F.col("app_id").cast("int") % 5
+    at_stop = page == F.greatest(F.lit(2), F.col("last_page") - 1)
+    case = F.when(at_stop, F.col("app_id").cast("int") % STOP_MODULUS).otherwise(F.lit(0))
     request_cursor = F.when(page == 1, F.lit("*")).otherwise(F.concat(F.lit("c"), _txt(page - 1)))
-    next_cursor = F.when((case == 4) & (page == STOP_SAME_CURSOR_PAGE), request_cursor).otherwise(
+    next_cursor = F.when(case == 4, request_cursor).otherwise(
         F.concat(F.lit("c"), _txt(page))
     )
-    success = F.when((case == 1) & (page == STOP_SUCCESS_PAGE), F.lit("2")).otherwise(F.lit("1"))
-    reviews = F.when((case == 2) & (page == STOP_EMPTY_PAGE), F.lit("")).otherwise(
+    success = F.when(case == 1, F.lit("2")).otherwise(F.lit("1"))
+    reviews = F.when(case == 2, F.lit("")).otherwise(
         F.array_join(F.transform("items", lambda x: x["review"]), ",")
     )
     body = _obj(
         _kv("success", success),
-        F.when(~((case == 3) & (page == STOP_NO_CURSOR_PAGE)), _kv("cursor", _q(next_cursor))),
+        F.when(case != 3, _kv("cursor", _q(next_cursor))),
         _kv("reviews", F.concat(F.lit("["), reviews, F.lit("]"))),
     )
     return pages.select(

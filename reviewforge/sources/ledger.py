@@ -100,7 +100,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 def append_watermarks(watermarks: DataFrame, path: str) -> None:
     """One row per app and run, in the run's ``load_id`` folder."""
-    _write_runs(watermarks.select(*[f.name for f in WATERMARK_SCHEMA.fields]).coalesce(1), path, ["load_id"])
+    _write_runs(watermarks.select(*[f.name for f in WATERMARK_SCHEMA.fields]).hint("rebalance"), path, ["load_id"])
 
 
 def read_watermarks(spark: SparkSession, path: str) -> DataFrame:

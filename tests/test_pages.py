@@ -54,15 +54,21 @@ def test_admitted_pages_match_sequential_read(spark, landed, max_pages):
 
 
 def test_stop_cases_reached(landed):
+    """One app in five stops at its last page but one (page 2 at least); all others are read to the end."""
     _, by_app = landed
-    expect = {1: 3, 2: 2, 3: 5, 4: 6}
+    kept_at_stop = {1: 0, 2: 0, 3: 1, 4: 1}  # whether the page of the stop is read
+    seen = set()
     for app, pages in by_app.items():
-        case = int(app) % 5
+        last = len(pages)
+        stop = max(2, last - 1)
+        case = int(app) % fixtures.STOP_MODULUS
         read = _sequential_read(pages)
-        if case in expect:
-            assert max(read) == expect[case], (app, read)
+        if case in kept_at_stop and stop <= last:
+            seen.add(case)
+            assert max(read) == stop - 1 + kept_at_stop[case], (app, read)
         else:
-            assert len(read) == len(pages)
+            assert len(read) == last
+    assert seen == set(kept_at_stop)
 
 
 def test_resume_reads_at_least_one_page(spark, landed):
