@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 import reviewforge
 from reviewforge.session import checkpoint_dir
 
+#: Rounds of a component search between changes of its hash.
+RESALT = 4
 #: Rows of one Arrow batch between the JVM and Python: documents are up to megabytes long.
 ARROW_ROWS = 512
 
@@ -108,10 +110,9 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     ``edges`` has long columns ``a`` and ``b``; direction, repeats and loops do
     not matter. In each round every node points at the node of its
     neighbourhood with the smallest hash, and the graph is contracted along
-    these pointers. The hash changes with the round, so a constant share of the
-    nodes goes in each round whatever the shape (chains in id order included);
-    stars around their smallest hash go in the first. The pointers are then
-    composed, last round first. Minima are combined before the shuffle, so a
+    these pointers. With one hash a star is gone in two rounds, however large;
+    a new hash every few rounds breaks up what is left of chains, whatever
+    their order of ids. The pointers are then composed, last round first. Minima are combined before the shuffle, so a
     node with very many neighbours is no hot group; the joins are plain
     equi-joins that AQE can split. Each round is written to the shared folder,
     which cuts the lineage.
@@ -119,7 +120,7 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     pointers: list[DataFrame] = []
     edges = edges.where("a <> b")
     for turn in range(max_rounds):
-        point = stored(nearest(edges, *[turn] * (turn > 0)), "pointers")
+        point = stored(nearest(edges, *[turn // RESALT] * (turn >= RESALT)), "pointers")
         if turn and point.isEmpty():
             break
         pointers.append(point)
