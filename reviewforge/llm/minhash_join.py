@@ -140,7 +140,8 @@ def _members(nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(found.reshape(-1)), pa.array(np.repeat(batch.column(0).to_numpy(), len(KEYS)))], names=["key", "node"])
 
     every = nodes.select("node", "sig").mapInArrow(run, "key long, node long")
-    shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # Written, so that the join reads two plain shuffles and AQE can split a bucket with very many nodes.
+    shared = stored(every.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared")
     return stored(every.join(shared, "key"), "buckets")
 
 
@@ -195,7 +196,7 @@ def _labelled(members: DataFrame, parts: DataFrame) -> DataFrame:
 
 def _open(labelled: DataFrame, *more) -> DataFrame:
     """The buckets that hold several components."""
-    return labelled.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), *more).where("low <> high").drop("low", "high")
+    return stored(labelled.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), *more).where("low <> high").drop("low", "high"), "open")
 
 
 def _star_pairs(labelled: DataFrame, *order: str) -> DataFrame:

@@ -300,10 +300,11 @@ def _cut(rows: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
 def repeated_spans(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(spans, texts): covered spans (tid, n, start, stop), with overlaps, and (tid, n, text) of texts that may have some."""
     found = stored(find_anchors(docs, text_col), "anchors")
-    grams = found.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gram")
+    # Written, so that the join reads two plain shuffles and AQE can split a gram with very many anchors.
+    grams = stored(found.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gram"), "grams")
     shared = stored(found.join(grams, "gram"), "shared")
     classes = stored(shared.groupBy("gram", "ctx").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("tid", "start")).alias("rep")), "contexts")
-    groups = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("k"), F.min("c").alias("least")).where("k > 1 and least = 1").select("gram", "k")
+    groups = stored(classes.groupBy("gram").agg(F.count(F.lit(1)).alias("k"), F.min("c").alias("least")).where("k > 1 and least = 1").select("gram", "k"), "groups")
     told = shared.join(classes, ["gram", "ctx"])
     spans = told.where("c > 1").select("tid", "n", F.col("start").cast("long").alias("start"), (F.col("start") + F.col("high") - F.col("low") + SPAN).cast("long").alias("stop")).distinct()
     open_ = told.where("rep.tid = tid and rep.start = start").join(groups, "gram")
