@@ -1,8 +1,8 @@
 """Operator 2: near-duplicates by b-bit MinHash signatures and a multi-index Hamming join.
 
 A document's set holds the 64-bit hashes of its distinct 5-word shingles. Its
-signature has 128 MinHash values of 16 bits; two documents of similarity J
-differ in about 128 * (1 - J) of them.
+signature has 384 MinHash values of 16 bits; two documents of similarity J
+differ in about 384 * (1 - J) of them.
 
 The index covers the first 50 values in 10 chunks of 5. Signatures that differ
 there in at most 19 values differ in at most one value of some chunk (19 // 10
@@ -19,8 +19,8 @@ between members of different components:
    buckets as possible;
 2. again with another one;
 3. in the buckets that still hold several components, signatures of different
-   components are compared in blocks, and a pair within 40 of 128 values
-   (similarity 0.85 exceeds that with a chance of about 1 in a million) goes
+   components are compared in blocks, and a pair within 84 of 384 values
+   (similarity 0.85 exceeds that with a chance of about 1 in 10,000) goes
    on, from the first bucket that it shares.
 
 Every pair that goes on is confirmed on the full sets. Buckets larger than a
@@ -50,9 +50,9 @@ from .bpe import Memo
 from .common import components, extended, nearest, python_ready, stored
 
 SHINGLE = 5
-VALUES, INDEXED, CHUNK = 128, 50, 5
+VALUES, INDEXED, CHUNK = 384, 50, 5
 #: Most differing values: of the indexed ones (guaranteed by the keys), of all.
-INDEX_LIMIT, LIMIT = 2 * (INDEXED // CHUNK) - 1, 40
+INDEX_LIMIT, LIMIT = 2 * (INDEXED // CHUNK) - 1, 84
 BLOCK = 512
 
 _ROUND = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0xD6E8FEB86659FD93)]
@@ -80,7 +80,7 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def signature(shingle_set: np.ndarray) -> np.ndarray:
-    """128 values of 16 bits."""
+    """384 values of 16 bits."""
     least = np.full(VALUES, np.iinfo(np.uint64).max, np.uint64)
     for k in range(0, len(shingle_set), 2048):
         np.minimum(least, (shingle_set[k : k + 2048, None] * _FACTORS).min(axis=0), out=least)
@@ -287,7 +287,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_col: str = "doc_id",
     known = extended(parts, third).select("node", F.col("up").alias("found"))
     own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("found", "node"))
     rooted = rows.select("doc_id", "n_shingles", "node").join(known, "node", "left").withColumn("root", own)
-    names = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
+    names = stored(rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least")), "names")
     return rooted.join(names, "root", "left").select(
         "doc_id",
         "n_shingles",
