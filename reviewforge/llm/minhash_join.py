@@ -15,17 +15,18 @@ Pairs of a bucket are never all emitted. Documents with equal sets are one node
 from the start. Then links are sought where they can still matter, that is
 between members of different components:
 
-1. every member is compared with one member of its bucket, the same in as many
-   buckets as possible;
-2. again with another one;
+1. every document is compared with one other, the member with the smallest hash
+   in all its buckets;
+2. again with one of another component, where a bucket still holds one;
 3. in the buckets that still hold several components, signatures of different
    components are compared in blocks, and a pair within 84 of 384 values
    (similarity 0.85 exceeds that with a chance of about 1 in 10,000) goes
    on, from the first bucket that it shares.
 
-Every pair that goes on is confirmed on the full sets. Buckets larger than a
-block are split over many tasks, so a bucket with a third of all documents is
-no hot group, and what crosses a shuffle stays in proportion to the documents.
+Every pair that goes on is confirmed on the full sets. Those of a pair of
+blocks stay together in one row, and each set that they need goes there once,
+so no join gives a row per pair. Buckets larger than a block are split over
+many tasks, so a bucket with a third of all documents is no hot group.
 
 Defined results: a null or blank text has the empty set and links with nothing,
 nor does a row with a null id; its component is its own id. Rows are judged by
@@ -53,7 +54,9 @@ SHINGLE = 5
 VALUES, INDEXED, CHUNK = 384, 50, 5
 #: Most differing values: of the indexed ones (guaranteed by the keys), of all.
 INDEX_LIMIT, LIMIT = 2 * (INDEXED // CHUNK) - 1, 84
-BLOCK = 512
+BLOCK = 2048
+#: Shingles whose sets one task holds at once, twice, when pairs are confirmed; a larger set is taken by itself.
+HELD = 2_000_000
 
 _ROUND = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0xD6E8FEB86659FD93)]
 _FACTORS = np.random.default_rng(20).integers(1, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -158,19 +161,20 @@ def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union for two sets given sorted."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    union = len(np.unique(np.concatenate([x, y])))
+    return 100 * (len(x) + len(y) - union) >= percent * union
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs with 100 * intersection >= percent * union on the full sets, written out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            links = []
-            for a, b, x, y in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    continue
-                union = len(np.unique(np.concatenate([x, y])))
-                if 100 * (len(x) + len(y) - union) >= percent * union:
-                    links.append((a, b))
+            links = [(a, b) for a, b, x, y in zip(*(batch.column(k).to_pylist() for k in range(4))) if similar(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), percent)]
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     one, two = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
@@ -200,39 +204,42 @@ def _open(labelled: DataFrame, *more) -> DataFrame:
 
 
 def _star_pairs(labelled: DataFrame, *order: str) -> DataFrame:
-    """Each member with one member of its bucket, if they are of different components."""
+    """Each node with one member of its buckets that is of another component: of the first in each, the first."""
     centre = F.min(F.struct(F.xxhash64(*order), "node", "part")).alias("centre")
     return (
         labelled.join(_open(labelled, centre), "key")
         .where("part <> centre.part")
+        .groupBy("node")
+        .agg(F.min("centre").alias("centre"))
         .select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"))
         .distinct()
     )
 
 
 def _block_pairs(labelled: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs of different components that share an open bucket and are within the limit.
+    """(id, a, b): the pairs of different components that share an open bucket and are within the limit, as lists.
 
     A bucket of n members has ceil(n / BLOCK) blocks; each pair of blocks is
-    compared by itself.
+    compared by itself and gives a row, or several if its sets are large.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = labelled.join(_open(labelled), "key").join(nodes.select("node", "sig"), "node").withColumn("block", F.pmod(F.xxhash64("node", "key"), blocks).cast("int"))
+    rows = labelled.join(_open(labelled), "key").join(nodes.select("node", "sig", "n_shingles"), "node").withColumn("block", F.pmod(F.xxhash64("node", "key"), blocks).cast("int"))
     other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
-    sent = rows.select("key", "node", "part", "sig", "block", other).select(
-        "key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "node", "part", "sig", "block"
+    sent = rows.select("key", "node", "part", "sig", "block", "n_shingles", other).select(
+        "key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "node", "part", "sig", "block", "n_shingles"
     )
 
-    def compare(group: list[tuple]) -> list[tuple[int, int]]:
+    def compare(group: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         key, p, q = group[0][:3]
         node = np.array([g[3] for g in group])
         part = np.array([g[4] for g in group])
         if (part == part[0]).all():
-            return []
+            return
         sig = np.frombuffer(b"".join(g[5] for g in group), "<u2").reshape(len(group), VALUES)
         block = np.array([g[6] for g in group])
         names, sizes = np.unique(part, return_counts=True)
-        found = []
+        tile = np.cumsum([g[7] for g in group]) // HELD
+        pairs = [np.zeros((0, 2), np.int64)]
         # A pair of different components has a member outside the largest one.
         for i in np.flatnonzero(part != names[sizes.argmax()]):
             others = np.flatnonzero((part != part[i]) & ((block != block[i]) | (p == q)))
@@ -240,31 +247,60 @@ def _block_pairs(labelled: DataFrame, nodes: DataFrame) -> DataFrame:
             if len(near):
                 same = (sig[near][:, KEYS] == sig[i][KEYS]).all(axis=2)
                 first = keys(sig[i : i + 1])[0][same.argmax(axis=1)]
-                found += [(min(node[i], node[j]), max(node[i], node[j])) for j in near[first == key]]
-        return found
+                near = near[first == key]
+                # Two nodes outside the largest component meet twice.
+                pairs.append(np.stack([np.minimum(near, i), np.maximum(near, i)], axis=1))
+        found = np.unique(np.concatenate(pairs), axis=0)
+        place = tile[found]
+        for both in np.unique(place, axis=0):
+            here = found[(place == both).all(axis=1)]
+            yield node[here[:, 0]], node[here[:, 1]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
-        out: set[tuple[int, int]] = set()
 
-        def batch_of(pairs):
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        def rows_of(group):
+            for a, b in compare(group):
+                yield pa.RecordBatch.from_pydict({"a": pa.array([a], pa.list_(pa.int64())), "b": pa.array([b], pa.list_(pa.int64()))})
 
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(7))):
+            for row in zip(*(batch.column(k).to_pylist() for k in range(8))):
                 if group and row[:3] != group[0][:3]:
-                    out.update(compare(group))
+                    yield from rows_of(group)
                     group = []
                 group.append(row)
-            if len(out) > 10_000:
-                yield batch_of(out)
-                out = set()
         if group:
-            out.update(compare(group))
-        yield batch_of(out)
+            yield from rows_of(group)
 
     order = ("key", "p", "q")
-    return sent.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "a long, b long").distinct()
+    return sent.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "a array<long>, b array<long>").withColumn("id", F.monotonically_increasing_id())
+
+
+def _confirmed_lists(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``_confirmed`` for rows of pairs (id, a, b): each row meets the sets of its nodes, once each."""
+    lists = stored(lists, "candidates")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, held = (), {}
+
+        def links():
+            found = [(a, b) for a, b in pairs if similar(held[a], held[b], percent)]
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            for node, shingle_set, a, b in zip(*(batch.column(k).to_pylist() for k in range(1, 5))):
+                if node is None:  # the first row of an id
+                    yield links()
+                    pairs, held = list(zip(a, b)), {}
+                else:
+                    held[node] = np.frombuffer(shingle_set, "<u8")
+        yield links()
+
+    none = F.lit(None).cast("array<long>")
+    needed = lists.select("id", F.explode(F.array_distinct(F.concat("a", "b"))).alias("node"))
+    whole = needed.join(sets, "node").select("id", "node", "shingles", none.alias("a"), none.alias("b"))
+    rows = whole.unionByName(lists, allowMissingColumns=True).select("id", "node", "shingles", "a", "b")
+    return stored(rows.repartition("id").sortWithinPartitions("id", F.asc_nulls_first("node")).mapInArrow(run, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -273,7 +309,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_col: str = "doc_id",
         raise ValueError("the signature limits are set for similarities of 0.8 and more")
     rows = stored(describe(docs, doc_col, text_col), "described")
     linked = rows.where("n_shingles > 0 and doc_id is not null")
-    nodes = stored(linked.groupBy("node", "twin").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")), "nodes")
+    nodes = stored(linked.groupBy("node", "twin").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")), "nodes")
     members = _members(nodes)
     wanted = nodes.join(members.select("node").distinct(), "node").select("doc_id", "node", "twin")
     sets = _sets(docs.select(docs[doc_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), wanted)
@@ -283,7 +319,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_col: str = "doc_id",
     # Any connected parts will do to leave out pairs here; the components come after the second comparison.
     second = _confirmed(_close(_star_pairs(_labelled(members, nearest(first)), "node", "key"), nodes), sets, percent)
     parts = components(first.unionByName(second))
-    third = _confirmed(_block_pairs(_labelled(members, parts), nodes), sets, percent)
+    third = _confirmed_lists(_block_pairs(_labelled(members, parts), nodes), sets, percent)
     known = extended(parts, third).select("node", F.col("up").alias("found"))
     own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("found", "node"))
     rooted = rows.select("doc_id", "n_shingles", "node").join(known, "node", "left").withColumn("root", own)
