@@ -40,8 +40,9 @@ def test_minhash_join_finds_every_component(spark, monkeypatch):
     docs = near_copies()
     want, sizes = near_duplicate_components(docs)
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    for block in (512, 3):
+    for block, held in ((2048, 2_000_000), (3, 20)):
         monkeypatch.setattr(minhash_join, "BLOCK", block)
+        monkeypatch.setattr(minhash_join, "HELD", held)
         got = {r.doc_id: r for r in minhash_join.near_duplicates(df).collect()}
         assert {i: r.component_id for i, r in got.items()} == want
         assert {i: r.n_shingles for i, r in got.items()} == sizes
