@@ -439,3 +439,39 @@ def violations_sql() -> str:
 def review_fields_sql() -> str:
     return ("review ->> 'recommendationid' as recommendationid, "
             "make_timestamp(try_cast(json_extract(review, '$.timestamp_updated') as bigint) * 1000000) as updated_at")
+
+
+def defects_cte(name: str = "defects") -> str:
+    """Fixture L with a defect in a copy of some L1 rows, told by the first digit of the hash."""
+    return f"""{name} as (
+    select * from ledger
+    union all by name
+    select case digit when '1' then null when '2' then cast((cast(appid as integer) + 1) % {APP_MODULUS} as varchar) else appid end as appid,
+        if(digit = '0', null, recommendationid) as recommendationid, updated_at,
+        if(digit = '3', ingested_at, ingested_at + interval 2 day) as ingested_at,
+        if(digit = '3', load_id, 'L3') as load_id,
+        if(digit = '5', null, hash_payload) as hash_payload, cursor,
+        if(digit = '6', '{{}}', payload) as payload
+    from (select *, hash_payload[1] as digit from ledger) where load_id = 'L1' and digit <= '6')"""
+
+
+def gold_defects_cte(name: str = "gold_defects") -> str:
+    return f"""{name} as (
+    select if(k % 13 = 0, null, app_id) as app_id,
+        case when k % 7 = 0 then avg_rating + 1.5 when k % 5 <> 0 then avg_rating end as avg_rating,
+        if(k % 3 = 0, -0.5, edp_current) as edp_current
+    from (select *, cast(app_id as integer) as k, unnest(if(cast(app_id as integer) % 11 = 0, [1, 2], [1])) from gold))"""
+
+
+def _sorted_object(text: str, nested: tuple[str, ...] = ()) -> str:
+    """Minified JSON text of an object with its keys sorted; ``nested`` keys are objects treated alike."""
+    value = f"cast(json_extract({text}, '$.\"' || k || '\"') as varchar)"
+    for key in nested:
+        inner = f"json_extract({text}, '$.{key}')"
+        value = f"case when k = '{key}' and json_type({inner}) = 'OBJECT' then {_sorted_object(inner)} else {value} end"
+    members = f"list_transform(list_sort(json_keys({text})), lambda k: cast(to_json(k) as varchar) || ':' || {value})"
+    return f"('{{' || array_to_string({members}, ',') || '}}')"
+
+
+def payload_hash_sql() -> str:
+    return f"sha256({_sorted_object('payload', ('author',))})"

@@ -84,14 +84,10 @@ def run_ingest(
 
 
 def _publish_checked(spark: SparkSession, df: DataFrame, base: str, version: str, model: str) -> DataFrame:
-    target = f"{base.rstrip('/')}/v={version}"
-    df.write.mode("overwrite").parquet(target)
-    written = spark.read.parquet(target)
-    quality.gate(quality.run_checks({model: written}))
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{base.rstrip('/')}/_current"
-    )
-    return written
+    staged = store.stage_version(df, base, version)
+    quality.gate(quality.run_checks({model: staged}))
+    store.publish_version(spark, base, version)
+    return staged
 
 
 def build_models(

@@ -65,6 +65,11 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.review_ledger(spark, sf_dir)
 
 
+def defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixture L with defects, for the queries that look for them."""
+    return fixtures.ledger_with_defects(ledger(spark, sf_dir))
+
+
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.enrich(compaction.compact_latest(ledger(spark, sf_dir)))
 
@@ -108,11 +113,11 @@ def q_compact_latest(spark, sf_dir):
 
 @register(
     "version_history",
-    _with(O.ledger_cte(), O.compacted_cte(name="versions", key="appid, recommendationid, hash_payload"))
+    _with(O.ledger_cte(), O.defects_cte(), O.compacted_cte("defects", "versions", "appid, recommendationid, hash_payload"))
     + "select * from versions",
 )
 def q_version_history(spark, sf_dir):
-    return compaction.version_history(ledger(spark, sf_dir))
+    return compaction.version_history(defects(spark, sf_dir))
 
 
 @register("enriched_reviews", _with(*_CHAIN) + "select * from silver")
@@ -285,16 +290,21 @@ def q_contract_check(spark, sf_dir):
     _with(*_PAGES, O.admitted_ctes(), O.exploded_cte())
     + f"""select app_id as appid, recommendationid, updated_at,
     TIMESTAMP '{RUN_TS.isoformat(sep=' ')}' as ingested_at, '{RUN_LOAD_ID}' as load_id, cursor, payload,
-    sha256(payload) as payload_sha
+    {O.payload_hash_sql()} as hash_payload
 from (select *, {O.review_fields_sql()} from yielded) where app_id is not null and recommendationid is not null""",
 )
 def q_ledger_rows(spark, sf_dir):
     pg = pages(spark, sf_dir)
     run = ING.ingest(pg, fixtures.requested_apps(pg), RUN_TS, ING.RunOptions(validate=False))
-    return run.ledger.drop("hash_payload").withColumn("payload_sha", F.sha2(F.col("payload"), 256))
+    return run.ledger
 
 
-@register("payload_hash")
+@register(
+    "payload_hash",
+    _with(*_PAGES, O.admitted_ctes(), O.exploded_cte())
+    + f"""select app_id as appid, recommendationid, {O.payload_hash_sql()} as hash_payload
+from (select *, {O.review_fields_sql()} from yielded) where app_id is not null and recommendationid is not null""",
+)
 def q_payload_hash(spark, sf_dir):
     pg = pages(spark, sf_dir)
     run = ING.ingest(pg, fixtures.requested_apps(pg), RUN_TS, ING.RunOptions(validate=False))
@@ -360,10 +370,10 @@ def _dq(test: str):
     def fn(spark, sf_dir):
         # the ledger feeds four layers here: materialize it once, as the
         # stored ledger table would be
-        raw = written(ledger(spark, sf_dir), "ledger")
+        raw = written(defects(spark, sf_dir), "ledger")
         comp = compaction.compact_latest(raw)
         s = enrich.enrich(comp)
-        g = gold_from_silver(s, BASE_PARAMS)
+        g = fixtures.gold_with_defects(gold(spark, sf_dir, BASE_PARAMS))
         checks = [c for c in DQ.CHECKS if c.test == test]
         tables = {
             "steam_reviews_raw": raw,
@@ -377,11 +387,17 @@ def _dq(test: str):
 
 
 _MODEL_CTE = {
-    "steam_reviews_raw": "ledger",
-    "steam_reviews_raw_compacted": "compacted",
-    "steam_reviews_enriched": "silver",
-    "fct_steam_review_metrics_adaptive": "gold",
+    "steam_reviews_raw": "defects",
+    "steam_reviews_raw_compacted": "compacted_defects",
+    "steam_reviews_enriched": "silver_defects",
+    "fct_steam_review_metrics_adaptive": "gold_defects",
 }
+_DEFECTS = [
+    O.defects_cte(),
+    O.compacted_cte("defects", "compacted_defects"),
+    O.enriched_cte("compacted_defects", "silver_defects"),
+    O.gold_defects_cte(),
+]
 
 
 def _dq_sql(test: str) -> str:
@@ -400,7 +416,7 @@ def _dq_sql(test: str) -> str:
                    f"and {c.column} <= {c.max_value}))")
         parts.append(f"select '{c.model}' as model, '{c.column}' as column_name, '{c.test}' as test_name, "
                      f"cast({cnt} as bigint) as failures")
-    return _with(*_GOLD_BASE) + "\nunion all\n".join(parts)
+    return _with(*_GOLD_BASE, *_DEFECTS) + "\nunion all\n".join(parts)
 
 
 for _t in ("not_null", "unique", "accepted_range"):
@@ -458,13 +474,13 @@ def q_late_rate(spark, sf_dir):
 
 @register(
     "dup_rate",
-    _with(O.ledger_cte())
+    _with(O.ledger_cte(), O.defects_cte())
     + """select load_id, sum(n)::bigint as rows, count(*)::bigint as distinct_keys,
     round(1.0 - count(*) / sum(n), 6) as dup_rate
-from (select load_id, appid, recommendationid, count(*) as n from ledger group by 1, 2, 3) group by load_id""",
+from (select load_id, appid, recommendationid, count(*) as n from defects group by 1, 2, 3) group by load_id""",
 )
 def q_dup_rate(spark, sf_dir):
-    return round_doubles(K.dup_rate(ledger(spark, sf_dir)))
+    return round_doubles(K.dup_rate(defects(spark, sf_dir)))
 
 
 def _drift_sql() -> str:
@@ -534,3 +550,69 @@ def q_landing_roundtrip(spark, sf_dir):
     path = f"{checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
     ST.write_landing(run.reviews, path, RUN_LOAD_ID)
     return ST.read_landing(spark, path)
+
+
+def _fresh_paths(spark: SparkSession):
+    """A new set of layer folders in the shared checkpoint folder."""
+    import uuid
+
+    from .pipeline import Paths
+
+    return Paths(f"{checkpoint_dir(spark).rstrip('/')}/layers-{uuid.uuid4().hex}")
+
+
+def _built(spark: SparkSession, sf_dir: str):
+    """Fixture L in a stored ledger, and the checked and published models over it."""
+    from . import pipeline
+
+    paths = _fresh_paths(spark)
+    ST.prepare_storage(spark, paths.ledger, paths.watermarks)
+    ST.append_ledger(ledger(spark, sf_dir), paths.ledger)
+    pipeline.build_models(spark, paths, BASE_PARAMS, version="v1")
+    return paths
+
+
+@register("stored_ledger", ORACLE["ledger_scan"])
+def q_stored_ledger(spark, sf_dir):
+    """The ledger appended to its table twice under the same loads, and read back."""
+    paths = _fresh_paths(spark)
+    ST.prepare_storage(spark, paths.ledger, paths.watermarks)
+    for _ in range(2):
+        ST.append_ledger(ledger(spark, sf_dir), paths.ledger)
+    ST.prepare_storage(spark, paths.ledger, paths.watermarks)
+    return compaction.ledger_scan(ST.read_ledger(spark, paths.ledger))
+
+
+@register(
+    "stored_watermarks",
+    f"select appid, load_id, cursor, max_updated_at, recorded_at from ({ORACLE['load_watermarks']})",
+)
+def q_stored_watermarks(spark, sf_dir):
+    """One whole ingest run into stored tables; its watermarks read back."""
+    from . import pipeline
+
+    pg = pages(spark, sf_dir)
+    paths = _fresh_paths(spark)
+    pipeline.run_ingest(spark, pg, fixtures.requested_apps(pg), paths, RUN_TS)
+    return ST.read_watermarks(spark, paths.watermarks)
+
+
+@register("published_gold", ORACLE["adaptive_metrics"])
+def q_published_gold(spark, sf_dir):
+    """Gold of the gated build, read through its SQL view."""
+    from . import pipeline
+
+    views = pipeline.register_views(spark, _built(spark, sf_dir))
+    return round_doubles(spark.sql(f"select * from {views['gold']}"))
+
+
+@register(
+    "metric_default_time",
+    _with(*_GOLD_BASE)
+    + f"select cast(snapshot_date as timestamp) as metric_time, {_METRIC_SELECT} from gold group by snapshot_date",
+)
+def q_metric_default_time(spark, sf_dir):
+    """Metrics by the model's default time dimension, after the check of its primary entity."""
+    published = ST.read_current(spark, _built(spark, sf_dir).gold)
+    SEM.check_primary_entity(published)
+    return round_doubles(SEM.query_metrics(published, _METRICS, ["metric_time"]))

@@ -240,3 +240,37 @@ def requested_apps(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     extra = spark.range(1).select(F.lit(EMPTY_APP_ID).alias("app_id"))
     return pages.select("app_id").distinct().unionByName(extra).distinct()
+
+
+def ledger_with_defects(ledger: DataFrame) -> DataFrame:
+    """Fixture L and copies of about 7 in 16 of its L1 rows, each with one defect.
+
+    The first hex digit of the payload hash names it: 0 no review id, 1 no app,
+    2 the id under the next app, 3 the same row again, 4 the same content in a
+    later load, 5 no hash, 6 an empty payload. All but 3 are in load L3.
+    """
+    digit = F.substring("hash_payload", 1, 1)
+    again = digit == "3"
+    next_app = ((F.col("appid").cast("int") + 1) % APP_MODULUS).cast("string")
+    copies = ledger.filter((F.col("load_id") == "L1") & (digit <= "6")).select(
+        F.when(digit == "2", next_app).when(digit != "1", F.col("appid")).alias("appid"),
+        F.when(digit != "0", F.col("recommendationid")).alias("recommendationid"),
+        "updated_at",
+        F.when(again, F.col("ingested_at")).otherwise(F.col("ingested_at") + F.expr("interval 2 days")).alias("ingested_at"),
+        F.when(again, F.col("load_id")).otherwise(F.lit("L3")).alias("load_id"),
+        F.when(digit != "5", F.col("hash_payload")).alias("hash_payload"),
+        "cursor",
+        F.when(digit == "6", F.lit("{}")).otherwise(F.col("payload")).alias("payload"),
+    )
+    return ledger.unionByName(copies)
+
+
+def gold_with_defects(gold: DataFrame) -> DataFrame:
+    """(app_id, avg_rating, edp_current) as a faulty build might leave them: apps
+    twice or without a name, values missing or out of range."""
+    app = F.col("app_id").cast("int")
+    return gold.unionByName(gold.filter(app % 11 == 0)).select(
+        F.when(app % 13 != 0, F.col("app_id")).alias("app_id"),
+        F.when(app % 7 == 0, F.col("avg_rating") + 1.5).when(app % 5 != 0, F.col("avg_rating")).alias("avg_rating"),
+        F.when(app % 3 == 0, F.lit(-0.5)).otherwise(F.col("edp_current")).alias("edp_current"),
+    )

@@ -7,6 +7,8 @@ reads and writes go through Spark (no driver-side file handling).
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -142,30 +144,44 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
 
 # ---------------------------------------------------------------- rebuilds
 
-_CURRENT = "_current"
+_PUBLISHED = "_published"
+
+
+def stage_version(df: DataFrame, base: str, version: str) -> DataFrame:
+    """Write a full rebuild into its own version folder and read it back; no reader sees it yet."""
+    target = f"{base.rstrip('/')}/v={version}"
+    df.write.mode("overwrite").parquet(target)
+    return df.sparkSession.read.parquet(target)
+
+
+def publish_version(spark: SparkSession, base: str, version: str) -> None:
+    """Make a staged version the current one.
+
+    Every publication adds one pointer file and removes none, so a writer lost
+    at any point leaves the version published before it."""
+    at = _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="microseconds")
+    pointer = spark.createDataFrame([(at, version)], "at string, version string")
+    pointer.coalesce(1).write.mode("append").json(f"{base.rstrip('/')}/{_PUBLISHED}")
 
 
 def write_version(df: DataFrame, base: str, version: str) -> str:
-    """Full rebuild into a fresh version folder, then switch the pointer.
+    """Full rebuild into a fresh version folder, then publish it.
 
     Readers of the previous version are never overwritten under their feet,
     and a rebuild may read the table it replaces.
     """
-    target = f"{base.rstrip('/')}/v={version}"
-    df.write.mode("overwrite").parquet(target)
-    spark = df.sparkSession
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{base.rstrip('/')}/{_CURRENT}"
-    )
-    return target
+    stage_version(df, base, version)
+    publish_version(df.sparkSession, base, version)
+    return f"{base.rstrip('/')}/v={version}"
 
 
 def current_version(spark: SparkSession, base: str) -> str | None:
+    """The version published last, or None."""
     try:
-        row = spark.read.text(f"{base.rstrip('/')}/{_CURRENT}").first()
+        pointers = spark.read.schema("at string, version string").json(f"{base.rstrip('/')}/{_PUBLISHED}")
+        return pointers.agg(F.max_by("version", "at")).first()[0]
     except AnalysisException:
         return None
-    return row[0] if row else None
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame:
