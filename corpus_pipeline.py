@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from reviewforge.llm import language_id, minhash_join, packing, quality_rules, suffix_dedup
 from reviewforge.llm.common import stored, table
 
+#: Least similarity of near-duplicates, in percent.
+SIMILAR = 80
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -36,7 +38,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     docs = docs.select(*COLUMNS)
-    ids = minhash_join.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    ids = minhash_join.near_duplicates(docs, SIMILAR).where("kept and doc_id is not null").select("doc_id").distinct()
     once = docs.join(ids, "doc_id").dropDuplicates(["doc_id", "text"])  # the join has dealt the rows by id already
     return once.unionByName(docs.where("doc_id is null")).select(*COLUMNS)
 

@@ -19,9 +19,9 @@ between members of different components:
    in all its buckets;
 2. again with one of another component, where a bucket still holds one;
 3. in the buckets that still hold several components, signatures of different
-   components are compared in blocks, and a pair within 84 of 384 values
-   (similarity 0.85 exceeds that with a chance of about 1 in 10,000) goes
-   on, from the first bucket that it shares.
+   components are compared in blocks, and a pair within ``limit`` of 384 values
+   (84 for similarity 0.85, 106 for 0.8, which such a pair exceeds with a chance
+   of about 1 in 10,000) goes on, from the first bucket that it shares.
 
 Every pair that goes on is confirmed on the full sets. Those of a pair of
 blocks stay together in one row, and each set that they need goes there once,
@@ -39,6 +39,7 @@ columns are read.
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,8 +53,8 @@ from .common import components, extended, nearest, python_ready, stored
 
 SHINGLE = 5
 VALUES, INDEXED, CHUNK = 384, 50, 5
-#: Most differing values: of the indexed ones (guaranteed by the keys), of all.
-INDEX_LIMIT, LIMIT = 2 * (INDEXED // CHUNK) - 1, 84
+#: Most differing values of the indexed ones (guaranteed by the keys).
+INDEX_LIMIT = 2 * (INDEXED // CHUNK) - 1
 BLOCK = 2048
 #: Shingles whose sets one task holds at once, twice, when pairs are confirmed; a larger set is taken by itself.
 HELD = 2_000_000
@@ -110,6 +111,12 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(len(column), VALUES)
 
 
+def limit(percent: int) -> int:
+    """Most differing values of all 384 for a pair of this similarity: 3.72 deviations above the mean."""
+    unlike = VALUES * (100 - percent) / 100
+    return math.ceil(unlike + 3.72 * math.sqrt(unlike * percent / 100))
+
+
 def describe(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, node, twin, sig): node and twin are two 64-bit hashes of the set."""
 
@@ -148,13 +155,13 @@ def _members(nodes: DataFrame) -> DataFrame:
     return stored(every.join(shared, "key"), "buckets")
 
 
-def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs whose whole signatures are within the limit."""
+def _close(pairs: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
+    """The pairs whose whole signatures differ in at most ``most`` values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                near = (_matrix(batch.column(2)) != _matrix(batch.column(3))).sum(axis=1) <= LIMIT
+                near = (_matrix(batch.column(2)) != _matrix(batch.column(3))).sum(axis=1) <= most
                 yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(near)) for k in (0, 1)], names=["a", "b"])
 
     one, two = nodes.select(F.col("node").alias("a"), F.col("sig").alias("x")), nodes.select(F.col("node").alias("b"), F.col("sig").alias("y"))
@@ -216,8 +223,8 @@ def _star_pairs(labelled: DataFrame, *order: str) -> DataFrame:
     )
 
 
-def _block_pairs(labelled: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(id, a, b): the pairs of different components that share an open bucket and are within the limit, as lists.
+def _block_pairs(labelled: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
+    """(id, a, b): the pairs of different components that share an open bucket and differ in at most ``most`` values, as lists.
 
     A bucket of n members has ceil(n / BLOCK) blocks; each pair of blocks is
     compared by itself and gives a row, or several if its sets are large.
@@ -243,7 +250,7 @@ def _block_pairs(labelled: DataFrame, nodes: DataFrame) -> DataFrame:
         # A pair of different components has a member outside the largest one.
         for i in np.flatnonzero(part != names[sizes.argmax()]):
             others = np.flatnonzero((part != part[i]) & ((block != block[i]) | (p == q)))
-            near = others[(sig[others] != sig[i]).sum(axis=1) <= LIMIT]
+            near = others[(sig[others] != sig[i]).sum(axis=1) <= most]
             if len(near):
                 same = (sig[near][:, KEYS] == sig[i][KEYS]).all(axis=2)
                 first = keys(sig[i : i + 1])[0][same.argmax(axis=1)]
@@ -306,7 +313,8 @@ def _confirmed_lists(lists: DataFrame, sets: DataFrame, percent: int) -> DataFra
 def near_duplicates(docs: DataFrame, percent: int = 85, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row; ``kept`` marks the smallest id of a component."""
     if percent < 80:
-        raise ValueError("the signature limits are set for similarities of 0.8 and more")
+        raise ValueError("the index is laid out for similarities of 0.8 and more")
+    most = limit(percent)
     rows = stored(describe(docs, doc_col, text_col), "described")
     linked = rows.where("n_shingles > 0 and doc_id is not null")
     nodes = stored(linked.groupBy("node", "twin").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")), "nodes")
@@ -315,11 +323,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_col: str = "doc_id",
     sets = _sets(docs.select(docs[doc_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), wanted)
 
     alone = members.withColumn("part", F.col("node"))
-    first = _confirmed(_close(_star_pairs(alone, "node"), nodes), sets, percent)
+    first = _confirmed(_close(_star_pairs(alone, "node"), nodes, most), sets, percent)
     # Any connected parts will do to leave out pairs here; the components come after the second comparison.
-    second = _confirmed(_close(_star_pairs(_labelled(members, nearest(first)), "node", "key"), nodes), sets, percent)
+    second = _confirmed(_close(_star_pairs(_labelled(members, nearest(first)), "node", "key"), nodes, most), sets, percent)
     parts = components(first.unionByName(second))
-    third = _confirmed_lists(_block_pairs(_labelled(members, parts), nodes), sets, percent)
+    third = _confirmed_lists(_block_pairs(_labelled(members, parts), nodes, most), sets, percent)
     known = extended(parts, third).select("node", F.col("up").alias("found"))
     own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("found", "node"))
     rooted = rows.select("doc_id", "n_shingles", "node").join(known, "node", "left").withColumn("root", own)

@@ -121,7 +121,7 @@ def test_pipeline_equals_its_stages_by_brute_force(spark):
     left = [(i, t) for i, t, _ in docs if pred[i] != "und"]
     kept = {r.doc_id for r in quality_rules.judge(whole).collect() if r.kept}
     left = [(i, t) for i, t in left if i in kept]
-    component, _ = near_duplicate_components(left)
+    component, _ = near_duplicate_components(left, corpus_pipeline.SIMILAR)
     left = [(i, t) for i, t in left if component[i] == i]
     removed = without_repeats([t for _, t in left])
     rows = corpus_pipeline.run(spark, SF_SMALL).collect()

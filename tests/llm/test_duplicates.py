@@ -49,6 +49,18 @@ def test_minhash_join_finds_every_component(spark, monkeypatch):
         assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
 
 
+def test_minhash_join_at_the_similarity_of_the_pipeline(spark):
+    docs = near_copies()
+    want, _ = near_duplicate_components(docs, 80)
+    assert want != near_duplicate_components(docs)[0]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in minhash_join.near_duplicates(df, 80).collect()} == want
+
+
+def test_signature_limit_of_each_similarity():
+    assert [minhash_join.limit(p) for p in (80, 85, 100)] == [106, 84, 0]
+
+
 def test_pigeonhole_keys_find_all_signatures_within_the_limit():
     r = np.random.default_rng(1)
     for _ in range(300):
