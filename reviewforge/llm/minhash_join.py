@@ -18,15 +18,17 @@ between members of different components:
 1. every document is compared with one other, the member with the smallest hash
    in all its buckets;
 2. again with one of another component, where a bucket still holds one;
-3. in the buckets that still hold several components, signatures of different
-   components are compared in blocks, and a pair within ``limit`` of 384 values
-   (84 for similarity 0.85, 106 for 0.8, which such a pair exceeds with a chance
-   of about 1 in 10,000) goes on, from the first bucket that it shares.
-
-Every pair that goes on is confirmed on the full sets. Those of a pair of
-blocks stay together in one row, and each set that they need goes there once,
-so no join gives a row per pair. Buckets larger than a block are split over
-many tasks, so a bucket with a third of all documents is no hot group.
+3. in the buckets that still hold several components, every pair of different
+   components goes on, from the first bucket that it shares, unless the sizes of
+   the two sets alone rule the similarity out.
+
+Every pair that goes on is confirmed on the full sets. Only the first two steps
+leave out pairs by their signatures (more than ``limit`` of 384 values differ);
+the third meets those again, so what the index brings together is decided by
+the full sets alone. The pairs of a pair of blocks stay together in one row, and
+each set that they need goes there once, so no join gives a row per pair.
+Buckets larger than a block are split over many tasks, so a bucket with a third
+of all documents is no hot group.
 
 Defined results: a null or blank text has the empty set and links with nothing,
 nor does a row with a null id; its component is its own id. Rows are judged by
@@ -112,7 +114,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def limit(percent: int) -> int:
-    """Most differing values of all 384 for a pair of this similarity: 3.72 deviations above the mean."""
+    """Most differing values of all 384 for a pair that the first two comparisons confirm: 3.72 deviations above the mean."""
     unlike = VALUES * (100 - percent) / 100
     return math.ceil(unlike + 3.72 * math.sqrt(unlike * percent / 100))
 
@@ -223,14 +225,15 @@ def _star_pairs(labelled: DataFrame, *order: str) -> DataFrame:
     )
 
 
-def _block_pairs(labelled: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
-    """(id, a, b): the pairs of different components that share an open bucket and differ in at most ``most`` values, as lists.
+def _block_pairs(labelled: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(id, a, b): the pairs of different components that share an open bucket and have sets of like enough sizes, as lists.
 
     A bucket of n members has ceil(n / BLOCK) blocks; each pair of blocks is
     compared by itself and gives a row, or several if its sets are large.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = labelled.join(_open(labelled), "key").join(nodes.select("node", "sig", "n_shingles"), "node").withColumn("block", F.pmod(F.xxhash64("node", "key"), blocks).cast("int"))
+    indexed = nodes.select("node", F.substring("sig", 1, 2 * INDEXED).alias("sig"), "n_shingles")
+    rows = labelled.join(_open(labelled), "key").join(indexed, "node").withColumn("block", F.pmod(F.xxhash64("node", "key"), blocks).cast("int"))
     other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
     sent = rows.select("key", "node", "part", "sig", "block", "n_shingles", other).select(
         "key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "node", "part", "sig", "block", "n_shingles"
@@ -242,26 +245,28 @@ def _block_pairs(labelled: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
         part = np.array([g[4] for g in group])
         if (part == part[0]).all():
             return
-        sig = np.frombuffer(b"".join(g[5] for g in group), "<u2").reshape(len(group), VALUES)
+        in_keys = keys(np.frombuffer(b"".join(g[5] for g in group), "<u2").reshape(len(group), INDEXED))
         block = np.array([g[6] for g in group])
+        size = np.array([g[7] for g in group])
         names, sizes = np.unique(part, return_counts=True)
-        tile = np.cumsum([g[7] for g in group]) // HELD
-        pairs = [np.zeros((0, 2), np.int64)]
-        # A pair of different components has a member outside the largest one.
-        for i in np.flatnonzero(part != names[sizes.argmax()]):
-            others = np.flatnonzero((part != part[i]) & ((block != block[i]) | (p == q)))
-            near = others[(sig[others] != sig[i]).sum(axis=1) <= most]
-            if len(near):
-                same = (sig[near][:, KEYS] == sig[i][KEYS]).all(axis=2)
-                first = keys(sig[i : i + 1])[0][same.argmax(axis=1)]
-                near = near[first == key]
-                # Two nodes outside the largest component meet twice.
-                pairs.append(np.stack([np.minimum(near, i), np.maximum(near, i)], axis=1))
-        found = np.unique(np.concatenate(pairs), axis=0)
-        place = tile[found]
-        for both in np.unique(place, axis=0):
-            here = found[(place == both).all(axis=1)]
-            yield node[here[:, 0]], node[here[:, 1]]
+        inner = part == names[sizes.argmax()]
+        tile = np.cumsum(size) // HELD
+        place = np.arange(len(group))
+        tiles = [np.flatnonzero(tile == t) for t in np.unique(tile)]
+        # A pair of different components has a member outside the largest one; if both are, the later one is met.
+        for ones in tiles:
+            ones = ones[~inner[ones]]
+            for others in tiles:
+                a, b = [], []
+                for i in ones:
+                    meets = (part[others] != part[i]) & (inner[others] | (place[others] > i)) & ((block[others] != block[i]) | (p == q))
+                    near = others[meets & (100 * np.minimum(size[others], size[i]) >= percent * np.maximum(size[others], size[i]))]
+                    near = near[in_keys[i][(in_keys[near] == in_keys[i]).argmax(axis=1)] == key]
+                    if len(near):
+                        a.append(np.full(len(near), node[i]))
+                        b.append(node[near])
+                if a:
+                    yield np.concatenate(a), np.concatenate(b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
@@ -283,25 +288,53 @@ def _block_pairs(labelled: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
     return sent.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "a array<long>, b array<long>").withColumn("id", F.monotonically_increasing_id())
 
 
+def confirm(a: np.ndarray, b: np.ndarray, held: dict[int, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (``a`` in runs of equal ones) that are similar on the sets ``held``, without those that links before them connect."""
+    names = np.sort(np.fromiter(held, np.int64, len(held)))
+    size = np.array([len(held[n]) for n in names])
+    start = np.concatenate([[0], np.cumsum(size)])
+    number = np.unique(np.concatenate([held[n] for n in names]), return_inverse=True)[1]
+    marked = np.zeros(len(number), bool)
+    label = np.arange(len(names))
+    x, y = np.searchsorted(names, a), np.searchsorted(names, b)
+    runs = np.flatnonzero(np.diff(x)) + 1
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for k, near in zip(x[np.concatenate([[0], runs])], np.split(y, runs)):
+        near = near[label[near] != label[k]]
+        own = number[start[k] : start[k + 1]]
+        marked[own] = True
+        for piece in np.array_split(near, 1 + size[near].sum() // HELD):
+            if len(piece):
+                first = np.concatenate([[0], np.cumsum(size[piece])])
+                at = np.arange(first[-1]) + np.repeat(start[piece] - first[:-1], size[piece])
+                both = np.add.reduceat(marked[number[at]].astype(np.int64), first[:-1])
+                linked = piece[100 * both >= percent * (size[k] + size[piece] - both)]
+                found.append((np.full(len(linked), names[k]), names[linked]))
+                label[np.isin(label, label[linked])] = label[k]
+        marked[own] = False
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
 def _confirmed_lists(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``_confirmed`` for rows of pairs (id, a, b): each row meets the sets of its nodes, once each."""
+    """``_confirmed`` for rows of pairs (id, a, b), as far as they connect: each row meets the sets of its nodes, once each."""
     lists = stored(lists, "candidates")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, held = (), {}
+        pairs, held = None, {}
 
         def links():
-            found = [(a, b) for a, b in pairs if similar(held[a], held[b], percent)]
-            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in confirm(*pairs, held, percent)], names=["a", "b"])
 
         for batch in batches:
-            for node, shingle_set, a, b in zip(*(batch.column(k).to_pylist() for k in range(1, 5))):
+            for k, (node, shingle_set) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
                 if node is None:  # the first row of an id
-                    yield links()
-                    pairs, held = list(zip(a, b)), {}
+                    if pairs:
+                        yield links()
+                    pairs, held = tuple(batch.column(c)[k].values.to_numpy() for c in (3, 4)), {}
                 else:
                     held[node] = np.frombuffer(shingle_set, "<u8")
-        yield links()
+        if pairs:
+            yield links()
 
     none = F.lit(None).cast("array<long>")
     needed = lists.select("id", F.explode(F.array_distinct(F.concat("a", "b"))).alias("node"))
@@ -327,7 +360,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_col: str = "doc_id",
     # Any connected parts will do to leave out pairs here; the components come after the second comparison.
     second = _confirmed(_close(_star_pairs(_labelled(members, nearest(first)), "node", "key"), nodes, most), sets, percent)
     parts = components(first.unionByName(second))
-    third = _confirmed_lists(_block_pairs(_labelled(members, parts), nodes, most), sets, percent)
+    third = _confirmed_lists(_block_pairs(_labelled(members, parts), nodes, percent), sets, percent)
     known = extended(parts, third).select("node", F.col("up").alias("found"))
     own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("found", "node"))
     rooted = rows.select("doc_id", "n_shingles", "node").join(known, "node", "left").withColumn("root", own)

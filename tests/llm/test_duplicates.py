@@ -61,6 +61,42 @@ def test_signature_limit_of_each_similarity():
     assert [minhash_join.limit(p) for p in (80, 85, 100)] == [106, 84, 0]
 
 
+@pytest.mark.parametrize("percent, shared, seeds", [(85, 17, (628, 8213)), (80, 16, (7822, 14131))])
+def test_minhash_join_links_pairs_beyond_the_signature_limit(spark, percent, shared, seeds):
+    docs = []
+    for seed in seeds:
+        r = random.Random(seed)
+        words = [f"w{r.randrange(10**6)}" for _ in range(24)]
+        pair = [" ".join(words[: shared + 4]), " ".join(words)]
+        x, y = (minhash_join.signature(minhash_join.shingles(t)) for t in pair)
+        assert (x != y).sum() > minhash_join.limit(percent) and (minhash_join.keys(x[None]) == minhash_join.keys(y[None])).any()
+        docs += [(len(docs) + k, t) for k, t in enumerate(pair)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash_join.near_duplicates(df, percent).collect()}
+    assert got == near_duplicate_components(docs, percent)[0] == {0: 0, 1: 0, 2: 2, 3: 2}
+
+
+def test_pairs_confirmed_like_one_by_one():
+    r = np.random.default_rng(8)
+    for held in (10, 2_000_000):
+        for _ in range(20):
+            sets = {int(n): np.unique(r.integers(0, 14, r.integers(5, 14)).astype("<u8")) for n in r.integers(-(2**62), 2**62, 12)}
+            pairs = [(a, b) for k, a in enumerate(sets) for b in list(sets)[k + 1 :] if r.random() < 0.7]
+            want = {p for p in pairs if minhash_join.similar(sets[p[0]], sets[p[1]], 80)}
+            with pytest.MonkeyPatch.context() as m:
+                m.setattr(minhash_join, "HELD", held)
+                a, b = minhash_join.confirm(*(np.array(side) for side in zip(*pairs)), sets, 80)
+            got = set(zip(a.tolist(), b.tolist()))
+            assert got <= want and parts_of(got, sets) == parts_of(want, sets)
+
+
+def parts_of(links, nodes):
+    part = {n: n for n in nodes}
+    for a, b in links:
+        part = {n: part[a] if p == part[b] else p for n, p in part.items()}
+    return {frozenset(n for n in nodes if part[n] == p) for p in part.values()}
+
+
 def test_pigeonhole_keys_find_all_signatures_within_the_limit():
     r = np.random.default_rng(1)
     for _ in range(300):
