@@ -42,6 +42,8 @@ CLOSED_BY_BLOCK = frozenset("address article aside blockquote div dl fieldset fo
 
 BAD_ELEMENTS = frozenset("nav footer aside form menu dialog fieldset".split())
 GOOD_ELEMENTS = frozenset("article main".split())
+#: Elements of the bad ones that only say how the page works, so they may also frame all of it.
+FORMS = frozenset("form fieldset".split())
 BAD_WORDS = frozenset(
     """ad ads advert advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs
     footer masthead topbar sidebar aside widget cookie cookies consent notice notices notification alert popup modal overlay newsletter
@@ -64,9 +66,12 @@ class Block:
         self.text, self.linked, self.place, self.path = text, linked, place, path
 
 
-def _place(tag: str, attributes: str, outer: int) -> int:
-    """Whether an element is a bad (-1) or good (1) place; ``outer`` where it says nothing."""
-    if tag in BAD_ELEMENTS or (tag == "header" and outer != 1):
+def _place(tag: str, attributes: str, outer: int, frame: bool = False) -> int:
+    """Whether an element is a bad (-1, not shown: -2) or good (1) place; ``outer`` where it says nothing.
+
+    A ``frame`` is no bad place for its name, unless its element says so.
+    """
+    if (tag in BAD_ELEMENTS and not (frame and tag in FORMS)) or (tag == "header" and outer != 1):
         return -1
     if attributes:
         words = set()
@@ -74,21 +79,60 @@ def _place(tag: str, attributes: str, outer: int) -> int:
             name = name.lower()
             if name in ("class", "id", "role"):
                 words.update(w.lower() for w in CUE_WORD.findall(value))
-            elif name == "hidden" or (name == "aria-hidden" and "true" in value) or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
+            elif name == "hidden" or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
+                return -2
+            elif name == "aria-hidden" and "true" in value:
                 return -1
-        if words & BAD_WORDS or ("header" in words and outer != 1):
+        if not frame and (words & BAD_WORDS or ("header" in words and outer != 1)):
             return -1
         if outer == 0 and words & GOOD_WORDS:
             return 1
     return 1 if tag in GOOD_ELEMENTS and outer != -1 else outer
 
 
+def _settle(found: list[Block], elements: list[tuple[str, str, int]]) -> None:
+    """Turns the elements that the blocks lie in (``place``, numbers from 1) into places.
+
+    html and body give no cue. An element with more than half of the page's text
+    is a frame if it holds an article, main or heading of the page, or the page
+    has none. An article or main in a bad place starts anew, as neutral.
+    """
+    parents = [0] + [e[2] for e in elements]
+    chars = [0] * len(parents)
+    for block in found:
+        at = block.place
+        while at:
+            chars[at] += len(block.text)
+            at = parents[at]
+    half = sum(len(b.text) for b in found) / 2
+    named, holds = [False], set()  # named: in an element that is never a frame
+    for number, (tag, attributes, parent) in enumerate(elements, 1):
+        named.append(named[parent] or tag == "header" or tag in BAD_ELEMENTS - FORMS)
+        if (tag in GOOD_ELEMENTS or (tag == "h1" and not named[number])) and chars[number] and _place(tag, attributes, 0) >= 0:
+            while number and number not in holds:
+                holds.add(number)
+                number = parents[number]
+    places = [0]
+    for number, (tag, attributes, parent) in enumerate(elements, 1):
+        outer = places[parent]
+        if tag in ("html", "body") or outer == -2:
+            places.append(outer)
+        elif outer == -1:
+            own = _place(tag, attributes, 0)
+            places.append(min(own, 0) if tag in GOOD_ELEMENTS else min(own, -1))
+        else:
+            places.append(_place(tag, attributes, outer, chars[number] > half and (not holds or number in holds)))
+    for block in found:
+        block.place = places[block.place]
+
+
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in order."""
     found: list[Block] = []
-    stack: list[tuple[str, int, int]] = []  # element, place, number
+    stack: list[tuple[str, int]] = []  # element, number
+    elements: list[tuple[str, str, int]] = []  # element, attributes, number of the one around it
     held: list[str] = []
-    linked = anchors = made = at = 0
+    linked = anchors = at = 0
     skip_until = None
 
     def text(raw: str) -> None:
@@ -104,13 +148,13 @@ def blocks(page: str) -> list[Block]:
         if held:
             joined = " ".join("".join(held).split())
             if joined:
-                found.append(Block(joined, linked, stack[-1][1] if stack else 0, tuple(s[2] for s in stack if s[0] not in INLINE)))
+                found.append(Block(joined, linked, stack[-1][1] if stack else 0, tuple(s[1] for s in stack if s[0] not in INLINE)))
             held.clear()
         linked = 0
 
     def close(count: int) -> None:
         nonlocal anchors
-        for tag, _, _ in stack[count:]:
+        for tag, _ in stack[count:]:
             anchors -= tag == "a"
         del stack[count:]
 
@@ -162,11 +206,11 @@ def blocks(page: str) -> list[Block]:
                         break
                     if stack[k][0] not in INLINE and stack[k][0] not in SELF_CLOSING:
                         break
-        made += 1
-        outer = stack[-1][1] if stack else 0
-        stack.append((tag, _place(tag, token[3], outer) if outer != -1 else -1, made))
+        elements.append((tag, token[3], stack[-1][1] if stack else 0))
+        stack.append((tag, len(elements)))
         anchors += tag == "a"
     end_block()
+    _settle(found, elements)
     return found
 
 

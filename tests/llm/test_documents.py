@@ -62,6 +62,32 @@ def test_main_text_of_a_page():
         assert isinstance(html_content.main_text(odd), str)
 
 
+STORY = "A sentence of the story that is told here, long enough to count as text. " * 6
+SIDE = "<div class=sidebar><p>Popular today, a list of things to read.</p></div><footer>Company</footer>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><form id=aspnetForm><h1>{STORY}</h1><p>{STORY}</p><p>{STORY}</p>{SIDE}</form></body>",
+        f"<html class=no-sidebar><body class='single has-sidebar'><h1>{STORY}</h1><div><p>{STORY}</p><p>{STORY}</p></div>{SIDE}</body></html>",
+        f"<body><div class='layout has-sidebar'><div><h1>{STORY}</h1><p>{STORY}</p><p>{STORY}</p></div>{SIDE}</div></body>",
+        f"<body><aside><article><p>{STORY}</p><p>{STORY}</p><p>{STORY}</p></article></aside>{SIDE}</body>",
+        f"<body><form><main><h1>{STORY}</h1><p>{STORY}</p><p>{STORY}</p></main><div class=comments>{f'<p>{STORY}</p>' * 9}</div>{SIDE}</form></body>",
+        f"<body><h1>{STORY}</h1><p>{STORY}</p><p>{STORY}</p><div class=comments>{f'<p>{STORY}</p>' * 9}</div><div hidden><article>{STORY}</article></div>{SIDE}</body>",
+    ],
+)
+def test_main_text_in_a_frame_with_a_bad_cue(page):
+    assert html_content.main_text(page) == (STORY * 3).strip()
+
+
+def test_whole_articles_of_the_test_data(spark):
+    for p in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect():
+        inside = re.search(r"<article>(.*?)</article>", p.html, re.S)[1]
+        want = html.unescape(re.sub(r"<[^>]*>", " ", inside)).split()
+        assert "".join(html_content.main_text(p.html).split()) == "".join(want)
+
+
 def test_minimum_cut_equals_brute_force():
     import itertools
     import random
