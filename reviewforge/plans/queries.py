@@ -460,6 +460,29 @@ def q_completeness(spark, sf_dir):
     return round_doubles(K.completeness(run.ledger, pg))
 
 
+@register(
+    "completeness_expected",
+    _with(
+        *_PAGES,
+        "landed as (select * from pages where cast(app_id as int) % 13 <> 5 and (cast(app_id as int) + page) % 9 <> 0)",
+        O.admitted_ctes("landed"),
+        O.exploded_cte(),
+    )
+    + f"""select e.appid, e.day, coalesce(g.n, 0)::bigint as pages_ingested, e.n::bigint as pages_expected,
+    round(coalesce(g.n, 0) / e.n, 6) as completeness
+from (select app_id as appid, cast(cast(fetched_at as timestamp) as date) as day, count(*) as n
+      from pages group by 1, 2) e
+left join (select app_id as appid, cast(TIMESTAMP '{RUN_TS.isoformat(sep=' ')}' as date) as day, count(distinct page) as n
+      from (select *, {O.review_fields_sql()} from yielded) where recommendationid is not null group by 1, 2) g
+  using (appid, day)""",
+)
+def q_completeness_expected(spark, sf_dir):
+    every = pages(spark, sf_dir)
+    pg = fixtures.landed_pages(every)
+    run = ING.ingest(pg, fixtures.requested_apps(every), RUN_TS, ING.RunOptions(validate=False))
+    return round_doubles(K.completeness(run.ledger, expected=fixtures.expected_pages(every)))
+
+
 @register(
     "late_rate",
     _with(O.ledger_cte(), O.enriched_cte(src="ledger"))

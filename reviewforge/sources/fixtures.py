@@ -235,6 +235,18 @@ def page_envelopes(spark: SparkSession, sf_dir: str, with_defects: bool = False)
     )
 
 
+def expected_pages(pages: DataFrame) -> DataFrame:
+    """(appid, day, pages_expected): every page of fixture P, on the day of its run."""
+    day = F.col("fetched_at").cast("timestamp_ntz").cast("date").alias("day")
+    return pages.groupBy(F.col("app_id").alias("appid"), day).agg(F.count(F.lit(1)).alias("pages_expected"))
+
+
+def landed_pages(pages: DataFrame) -> DataFrame:
+    """Fixture P without the pages that were never fetched: all of one app in 13, one page in nine of the others."""
+    app = F.col("app_id").cast("int")
+    return pages.filter((app % 13 != 5) & ((app + F.col("page")) % 9 != 0))
+
+
 def requested_apps(pages: DataFrame) -> DataFrame:
     """Apps a run asks for: every app with landed pages plus one without any."""
     spark = pages.sparkSession

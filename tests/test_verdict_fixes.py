@@ -33,6 +33,15 @@ def test_upsert_keeps_late_updates_of_old_apps_and_ignores_replays(spark):
     assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, once.collect()))
 
 
+def test_completeness_counts_pages_that_never_landed(spark):
+    day = dt.date(2024, 2, 1)
+    landed = [("a", dt.datetime(2024, 2, 1, 6), json.dumps({"page": n})) for n in (1, 1, 2)]
+    ledger = spark.createDataFrame(landed, "appid string, ingested_at timestamp_ntz, payload string")
+    expected = spark.createDataFrame([("a", day, 4), ("b", day, 2), ("c", day, 0)], "appid string, day date, pages_expected long")
+    got = sorted(map(tuple, indicators.completeness(ledger, expected=expected).collect()))
+    assert got == [("a", day, 2, 4, 0.5), ("b", day, 0, 2, 0.0), ("c", day, 0, 0, None)]
+
+
 def test_reviews_that_carry_lineage_members_and_non_objects(spark):
     reviews = ['{"recommendationid":"1","app_id":"wrong","cursor":null,"n":1}', "42", '{"recommendationid":"2"}', "{}"]
     body = json.dumps({"success": 1, "cursor": "c1"})[:-1] + ',"reviews":[' + ",".join(reviews) + "]}"
