@@ -74,7 +74,7 @@ def apply_session_defaults(spark: SparkSession) -> None:
     as-of date and day truncation are defined in UTC.
     """
     for key, value in SESSION_DEFAULTS.items():
-        if str(spark.conf.get(key, "")).lower() == value.lower():
+        if str(spark.conf.get(key, None)).lower() == value.lower():
             continue
         try:
             spark.conf.set(key, value)
