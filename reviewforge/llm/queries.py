@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, embedding_join, html_content, language_id, minhash_join, packing, quality_rules, suffix_dedup, token_counts, token_files
+from . import bpe_codec, embedding_join, html_content, language_id, merkle_manifest, minhash_join, packing, quality_rules, suffix_dedup, token_counts, token_files
 from .common import table
 
 
@@ -48,6 +48,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle_manifest.audit(docs, merkle_manifest.tampered(docs))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -61,7 +66,8 @@ QUERIES = {
         op8_html_content,
         op9_token_files,
         op10_language_id,
+        op13_merkle_manifest,
     )
 }
 
-ORACLE: dict[str, str] = {"op3_epsilon_grid_join": embedding_join.SQL, "op7_quality_rules": quality_rules.SQL}
+ORACLE: dict[str, str] = {"op3_epsilon_grid_join": embedding_join.SQL, "op7_quality_rules": quality_rules.SQL, "op13_merkle_manifest": merkle_manifest.SQL}
