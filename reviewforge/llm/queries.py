@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, embedding_join, html_content, language_id, merkle_manifest, minhash_join, packing, quality_rules, suffix_dedup, token_counts, token_files
+from . import bpe_codec, embedding_join, html_content, language_id, merkle_manifest, minhash_join, packing, quality_rules, source_mix, suffix_dedup, token_counts, token_files
 from .common import table
 
 
@@ -48,6 +48,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.taken(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return merkle_manifest.audit(docs, merkle_manifest.tampered(docs))
@@ -66,8 +70,14 @@ QUERIES = {
         op8_html_content,
         op9_token_files,
         op10_language_id,
+        op11_source_mix,
         op13_merkle_manifest,
     )
 }
 
-ORACLE: dict[str, str] = {"op3_epsilon_grid_join": embedding_join.SQL, "op7_quality_rules": quality_rules.SQL, "op13_merkle_manifest": merkle_manifest.SQL}
+ORACLE: dict[str, str] = {
+    "op3_epsilon_grid_join": embedding_join.SQL,
+    "op7_quality_rules": quality_rules.SQL,
+    "op11_source_mix": source_mix.SQL,
+    "op13_merkle_manifest": merkle_manifest.SQL,
+}
