@@ -138,3 +138,10 @@ def library(path: str):
 
 def pattern(text: str):
     return regex.compile(text, regex.V0)
+
+
+@functools.cache
+def blanks() -> frozenset[str]:
+    """The characters that the pre-token patterns take as white space."""
+    space = pattern(r"\s").match
+    return frozenset(c for c in map(chr, range(0x10000)) if space(c))

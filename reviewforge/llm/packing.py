@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import bisect
 import functools
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 from .bpe import Memo, byte_chars, library
 from .bpe_codec import Codec
 from .common import python_ready, stored
+from .token_files import MARKS
 
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long, task int, rank long"
 SLOT = "length int, first long, stop long, per int, bin long, place int"
@@ -49,11 +51,23 @@ class Encoder(Codec):
     def __init__(self, path: str):
         super().__init__(path)
         self.model, self.chars = library(path).model, dict(enumerate(byte_chars()))
-        self.packed = Memo(lambda piece: np.array(self.of_piece(piece), "<u4").tobytes(), 300_000)
+        self.packed = Memo(self.packed_piece, 300_000)
 
     def of_bytes(self, data: bytes) -> tuple[int, ...]:
         return tuple(t.id for t in self.model.tokenize(data.decode("latin-1").translate(self.chars)))
 
+    def packed_piece(self, piece: str) -> bytes:
+        if piece.isascii():  # no normal form to find, and letters are one word
+            if piece.isalpha():
+                ids = [t.id for t in self.model.tokenize(piece.lower())]
+            elif piece and piece[-1] in MARKS and piece[:-1].isalpha():
+                ids = [*(t.id for t in self.model.tokenize(piece[:-1].lower())), *self.words[piece[-1]]]
+            else:
+                ids = self.of_piece(piece)
+        else:
+            ids = self.of_piece(piece)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""

@@ -40,11 +40,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import BYTE_PRETOKEN, Memo, byte_chars, library, pattern, unassigned, vocabulary
+from .bpe import BYTE_PRETOKEN, Memo, blanks, byte_chars, library, pattern, unassigned, vocabulary
 from .common import python_ready, work_path
 
 MAGIC = b"TOKPACK1"
 PIECES, PRETOKENS = 300_000, 500_000
+#: Marks that often end a word; after a letter each is a pre-token by itself.
+MARKS = frozenset(".,;:!?")
 
 
 # -- packing ---------------------------------------------------------------------------------
@@ -141,7 +143,7 @@ class Encoder:
     def __init__(self, path: str):
         self.lib = library(path)
         self.find = pattern(BYTE_PRETOKEN).findall
-        self.space = pattern(r"\s")
+        self.blank = blanks()
         self.special = list(vocabulary(path)["added"])
         self.model = self.lib.model
         self.chars = dict(enumerate(byte_chars()))
@@ -153,12 +155,17 @@ class Encoder:
 
     def of_pretoken(self, word: str) -> bytes:
         mapped = word.encode().decode("latin-1").translate(self.chars)
-        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+        ids = [t.id for t in self.model.tokenize(mapped)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def of_piece(self, piece: str) -> bytes | None:
         """Ids of a space and ``piece``; None if a cut at that space is not certain (see operator 1)."""
-        if not piece or self.space.match(piece) or self.space.match(piece[-1]):
+        if not piece or piece[0] in self.blank or piece[-1] in self.blank:
             return None
+        if piece.isalpha():  # a space and letters are one pre-token
+            return self.of_pretoken(" " + piece)
+        if piece[-1] in MARKS and piece[:-1].isalpha():
+            return self.of_pretoken(" " + piece[:-1]) + self.pretokens[piece[-1]]
         return self.of_plain(" " + piece)
 
     def of_plain(self, text: str) -> bytes:
@@ -169,7 +176,7 @@ class Encoder:
             return np.zeros(0, np.uint32)
         head, *rest = text.split(" ")
         data = None
-        if head and not self.space.match(head[-1]) and not any(s in text for s in self.special):
+        if head and head[-1] not in self.blank and not any(s in text for s in self.special):
             try:
                 data = self.of_plain(head) + b"".join(map(self.pieces.__getitem__, rest))
             except TypeError:  # a piece is None
