@@ -36,6 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewforge.plans.joins import join_per_key
+
 from .bpe import Memo, byte_chars, library
 from .bpe_codec import Codec
 from .common import python_ready, stored
@@ -189,7 +191,7 @@ def pack(docs: DataFrame, size: int = 2048, end_id: int = 0, tokenizer: str | No
     counts = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``size`` rows
     # A plan has a few slots per length at most, so its table is bounded by ``size`` and may be broadcast.
     where = spark.createDataFrame(slots(best_two_fit(counts, size)), SLOT)
-    ranked = rows.join(before, ["length", "task"]).withColumn("rank", F.col("rank") + F.col("before"))
+    ranked = join_per_key(rows, before, ["length", "task"]).withColumn("rank", F.col("rank") + F.col("before"))
     at = ranked.join(F.broadcast(where.withColumnRenamed("length", "l")), F.expr("length = l and rank >= first and rank < stop"))
     nth = F.col("rank") - F.col("first")
     return at.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, embedding_join, html_content, language_id, merkle_manifest, minhash_join, packing, quality_rules, source_mix, suffix_dedup, token_counts, token_files
+from . import bpe_codec, embedding_join, html_content, language_id, merkle_manifest, minhash_join, packing, quality_rules, source_mix, suffix_dedup, token_alignment, token_counts, token_files
 from .common import table
 
 
@@ -52,6 +52,10 @@ def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.taken(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return merkle_manifest.audit(docs, merkle_manifest.tampered(docs))
@@ -71,6 +75,7 @@ QUERIES = {
         op9_token_files,
         op10_language_id,
         op11_source_mix,
+        op12_token_alignment,
         op13_merkle_manifest,
     )
 }

@@ -192,6 +192,8 @@ def encoder(path: str) -> Encoder:
 
 # -- writing and reading ----------------------------------------------------------------------
 
+#: Files that a task reads back, on average; without a number, the names' few bytes would make them all one task.
+FILES_PER_TASK = 4
 MANIFEST = "part int, file string, first long, n_docs long, n_tokens long"
 
 
@@ -245,12 +247,13 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     ``start`` counts the ids of all documents before, over all files. The
     partitions' totals, one row each, are summed up in order and joined to the
-    files; the files are then read in parallel.
+    files, which are dealt over as many tasks as their number asks for.
     """
     manifest = spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
     totals = manifest.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    files = manifest.join(before, "part").select("file", (F.col("before") + F.col("first")).alias("start")).repartition("file")
+    tasks = max(1, -(-manifest.count() // FILES_PER_TASK))
+    files = manifest.join(before, "part").select("file", (F.col("before") + F.col("first")).alias("start")).repartition(tasks, "file")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
