@@ -53,7 +53,8 @@ class Encoder(Codec):
     def __init__(self, path: str):
         super().__init__(path)
         self.model, self.chars = library(path).model, dict(enumerate(byte_chars()))
-        self.packed = Memo(self.packed_piece, 300_000)
+        self.marks = {m: np.array(self.of_word(m), "<u4").tobytes() for m in MARKS}
+        self.packed = Memo(self.packed_piece, 1_000_000)
 
     def of_bytes(self, data: bytes) -> tuple[int, ...]:
         return tuple(t.id for t in self.model.tokenize(data.decode("latin-1").translate(self.chars)))
@@ -62,12 +63,10 @@ class Encoder(Codec):
         if piece.isascii():  # no normal form to find, and letters are one word
             if piece.isalpha():
                 ids = [t.id for t in self.model.tokenize(piece.lower())]
-            elif piece and piece[-1] in MARKS and piece[:-1].isalpha():
-                ids = [*(t.id for t in self.model.tokenize(piece[:-1].lower())), *self.words[piece[-1]]]
-            else:
-                ids = self.of_piece(piece)
-        else:
-            ids = self.of_piece(piece)
+                return struct.pack(f"<{len(ids)}I", *ids)
+            if piece and piece[-1] in MARKS and piece[:-1].isalpha():
+                return self.packed[piece[:-1]] + self.marks[piece[-1]]
+        ids = self.of_piece(piece)
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, text: str | None) -> bytes:

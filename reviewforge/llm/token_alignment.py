@@ -101,14 +101,16 @@ def tokenizers(a: str, b: str) -> tuple[Bytewise, Piecewise]:
 # -- one slice --------------------------------------------------------------------------------
 
 
-def _ends(ids: pa.ListArray, spelling: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
-    """(document, end, id) of every token: its bytes' end within its document."""
-    flat, doc = pc.list_flatten(ids), pc.list_parent_indices(ids).cast(pa.int32())
-    total = pc.cumulative_sum(pc.binary_length(spelling.take(flat)).cast(pa.int64()))
+def _ends(ids: pa.ListArray, spelling: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """(document << 32 | end, id) of every token: its bytes' end within its document."""
+    flat, doc = pc.list_flatten(ids), pc.list_parent_indices(ids).cast(pa.int64())
+    if not len(flat):
+        return doc, flat
+    total = pc.cumulative_sum(pc.binary_length(spelling).take(flat).cast(pa.int64()))
     # Segmented: less the sum at the end of the document before.
     before = pc.subtract(ids.offsets.slice(0, len(ids)), 1)
-    base = pc.if_else(pc.less(before, 0), 0, total.take(pc.max_element_wise(before, 0))) if len(flat) else pa.array(np.zeros(len(ids), np.int64))
-    return doc, pc.subtract(total, base.take(doc)), flat
+    base = pc.if_else(pc.less(before, 0), 0, total.take(pc.max_element_wise(before, 0)))
+    return pc.add(pc.shift_left(doc, 32), pc.subtract(total, base.take(doc))), flat
 
 
 def _grouped(tokens: pa.Array, last: pa.Array) -> pa.Array:
@@ -121,26 +123,25 @@ def aligned(a: pa.ListArray, b: pa.ListArray, spell_a: pa.Array, spell_b: pa.Arr
     """The counts, group digests and link pairs of documents whose ids spell the same bytes."""
     n = len(a)
     none = pa.array(np.zeros(n, np.int64))
-    doc_a, end_a, ids_a = _ends(a, spell_a)
-    doc_b, end_b, ids_b = _ends(b, spell_b)
+    key_a, ids_a = _ends(a, spell_a)
+    key_b, ids_b = _ends(b, spell_b)
     place = lambda ids: pa.array(np.arange(len(ids)))
-    left = pa.table({"doc": doc_a, "end": end_a, "a": place(ids_a)})
-    right = pa.table({"doc": doc_b, "end": end_b, "b": place(ids_b)})
-    both = left.join(right, ["doc", "end"], join_type="full outer", use_threads=False).combine_chunks()
-    both = both.sort_by([("doc", "ascending"), ("end", "ascending")]).combine_chunks()
-    shared = both.filter(pc.and_(pc.is_valid(both["a"]), pc.is_valid(both["b"]))).combine_chunks()
     one = lambda column: column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    left, right = pa.table({"key": key_a, "a": place(ids_a)}), pa.table({"key": key_b, "b": place(ids_b)})
+    both = left.join(right, "key", join_type="full outer", use_threads=False).combine_chunks()
+    both = both.take(pc.array_sort_indices(one(both["key"]))).combine_chunks()
+    shared = both.filter(pc.and_(pc.is_valid(both["a"]), pc.is_valid(both["b"]))).combine_chunks()
     # An end that only one side has lies in the other side's next token; a document ends on both sides.
     in_a, in_b = one(pc.fill_null_backward(both["a"])), one(pc.fill_null_backward(both["b"]))
     pair = pc.add(pc.shift_left(ids_a.take(in_a).cast(pa.int64()), 32), ids_b.take(in_b).cast(pa.int64()))
 
-    def per_doc(docs: pa.Array) -> np.ndarray:
-        return np.bincount(docs.to_numpy(zero_copy_only=False), minlength=n)
+    def per_doc(keys: pa.Array) -> np.ndarray:
+        return np.bincount(keys.to_numpy() >> 32, minlength=n)
 
-    links, groups = per_doc(one(both["doc"])), per_doc(one(shared["doc"]))
+    links, groups = per_doc(one(both["key"])), per_doc(one(shared["key"]))
     texts = pc.binary_join_element_wise(_grouped(ids_a, one(shared["a"])), _grouped(ids_b, one(shared["b"])), "|")
     lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(groups)]), pa.int32()), texts)
-    digests = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in pc.binary_join(lists, ";").to_pylist()]
+    digests = [hashlib.sha256(t).hexdigest() if t else "" for t in pc.binary_join(lists, ";").cast(pa.binary()).to_pylist()]
     return {
         "n_a": pc.add(none, pc.list_value_length(a)),
         "n_b": pc.add(none, pc.list_value_length(b)),
@@ -151,9 +152,16 @@ def aligned(a: pa.ListArray, b: pa.ListArray, spell_a: pa.Array, spell_b: pa.Arr
     }
 
 
-def _spelled(ids: pa.ListArray, spelling: pa.Array) -> list[bytes]:
-    """The joined bytes of every list."""
-    return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, spelling.take(pc.list_flatten(ids))), b"").to_pylist()
+def _spells(ids: pa.ListArray, spelling: pa.Array, data: list[bytes]) -> list[bool]:
+    """Whether every list's tokens join to its text; at once, and one by one only if some do not."""
+    spelled = spelling.take(pc.list_flatten(ids))
+    whole = spelled.buffers()[2]
+    if len(spelled) and whole is not None and whole.to_pybytes() == b"".join(data):
+        # The joined bytes are equal; so are the texts where each list has its text's length.
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(spelled).to_numpy(), dtype=np.int64)])[ids.offsets.to_numpy()]
+        if (np.diff(ends) == [len(d) for d in data]).all():
+            return [True] * len(data)
+    return [x == d for x, d in zip(pc.binary_join(pa.ListArray.from_arrays(ids.offsets, spelled), b"").to_pylist(), data)]
 
 
 def _lists(rows: list[np.ndarray] | list[list[int]]) -> pa.ListArray:
@@ -167,7 +175,8 @@ def align_texts(texts: list[str | None], a_path: str, b_path: str) -> dict[str,
     a, b = tokenizers(a_path, b_path)
     ids_a = _lists([a(t) if t else [] for t in texts])
     ids_b = _lists(b([t or "" for t in texts]))
-    fine = [bool(t) and x == y == b" " + t.encode() for t, x, y in zip(texts, _spelled(ids_a, a.spelling), _spelled(ids_b, b.spelling))]
+    data = [b" " + t.encode() if t else b"" for t in texts]
+    fine = [x and y for x, y in zip(_spells(ids_a, a.spelling, data), _spells(ids_b, b.spelling, data))]
     if not all(fine):
         keep = lambda ids: pa.array([row if ok else [] for row, ok in zip(ids.to_pylist(), fine)], ids.type)
         ids_a, ids_b = keep(ids_a), keep(ids_b)

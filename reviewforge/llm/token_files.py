@@ -44,7 +44,7 @@ from .bpe import BYTE_PRETOKEN, Memo, blanks, byte_chars, library, pattern, unas
 from .common import python_ready, work_path
 
 MAGIC = b"TOKPACK1"
-PIECES, PRETOKENS = 300_000, 500_000
+PIECES, PRETOKENS = 1_000_000, 200_000
 #: Marks that often end a word; after a letter each is a pre-token by itself.
 MARKS = frozenset(".,;:!?")
 
@@ -165,7 +165,7 @@ class Encoder:
         if piece.isalpha():  # a space and letters are one pre-token
             return self.of_pretoken(" " + piece)
         if piece[-1] in MARKS and piece[:-1].isalpha():
-            return self.of_pretoken(" " + piece[:-1]) + self.pretokens[piece[-1]]
+            return self.pieces[piece[:-1]] + self.pretokens[piece[-1]]
         return self.of_plain(" " + piece)
 
     def of_plain(self, text: str) -> bytes:
