@@ -7,8 +7,8 @@ space), hashed into a fixed number of columns, square-rooted and normalised.
 
 Fitting uses at most ``per_language`` labelled documents of each language
 (a documented bound): those with the smallest hash of their id, found by a
-top-k per language; only their hashed features reach the driver. The hash
-bound keeps the sample independent of how the rows are dealt. Prediction is a
+top-k per language; only their hashed features, 8 KB each, reach the driver.
+The hash bound keeps the sample independent of how the rows are dealt. Prediction is a
 single mapping over all rows without a shuffle.
 
 Defined results: a null text or one without letters is ``und`` with score 0;
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -100,7 +100,7 @@ class Model:
         for i, a in enumerate(classes):
             for b in classes[i + 1 :]:
                 rows = (names == a) | (names == b)
-                found[a, b] = linear_svm(x[rows], names[rows] == a)
+                found[a, b] = linear_svm(x[rows], names[rows] == a)  # copied and widened for one pair at a time
         return found
 
     @staticmethod
@@ -125,30 +125,39 @@ class Model:
         return lang, float(1 / (1 + np.exp(-4 * np.clip(min(first, second), -10, 10))))
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """A model of the labelled rows whose crc32(doc_id as text) mod 5 is not 0."""
-    order = F.xxhash64(F.col("doc_id"))
+def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """(lang, v) of the rows that a model is fitted on, in an order that does not depend on how they are dealt.
+
+    Two jobs, whatever the number of languages. The k-th smallest hash of a
+    language is found on (language, hash) alone, the top k of each task at most
+    being shuffled; only texts up to it are read again. Rows with the same id
+    share a hash, so what passes is ranked once more. ``v``: half precision.
+    """
     learn = docs.select(docs["doc_id"], docs["text"], docs["lang"]).where((F.crc32(F.col("doc_id").cast("string")) % 5 != 0) & F.col("lang").isNotNull())
-    spark = docs.sparkSession
-    python_ready(spark)
+    learn = learn.withColumn("h", F.xxhash64("doc_id"))
+    python_ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(lang, v) for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if (v := features(text)) is not None]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1].astype("<f4").tobytes() for r in rows], pa.binary())], names=["lang", "v"])
-
-    x, names = [], []
-    for (lang,) in sorted(learn.select("lang").distinct().collect()):  # one row per language
-        own = learn.where(F.col("lang") == lang)
-        # The k-th smallest hash bounds the sample; ties (rows with the same id) are cut by the limit.
-        bound = own.select(order.alias("h")).orderBy("h").limit(per_language).agg(F.max("h")).first()[0]
-        chosen = own.where(order <= bound).select("text", "lang").limit(per_language).mapInArrow(run, "lang string, v binary")
-        for row in chosen.collect():
-            x.append(np.frombuffer(bytes(row["v"]), "<f4"))
-            names.append(row["lang"])
-    # The order of rows must not matter: sort them by content.
-    rank = sorted(range(len(x)), key=lambda i: (names[i], x[i].tobytes()))
-    return Model(np.array([x[i] for i in rank]).reshape(len(x), COLUMNS), np.array([names[i] for i in rank], dtype=object))
+            rows = [(*r, v) for *r, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "h", "t", "text"))) if (v := features(text)) is not None]
+            cols = list(zip(*rows)) or [()] * 4
+            packed = [v.astype("<f2").tobytes() for v in cols[3]]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(packed, pa.binary())], names=["lang", "h", "t", "v"])
+
+    by_hash = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    bounds = learn.select("lang", "h").withColumn("nth", by_hash).where(F.col("nth") <= per_language).groupBy("lang").agg(F.max("h").alias("bound"))
+    near = learn.join(bounds, "lang").where("h <= bound").withColumn("t", F.xxhash64("text"))
+    ranked = near.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("h", "t"))).where(F.col("nth") <= per_language)
+    return ranked.select("lang", "h", "t", "text").mapInArrow(run, "lang string, h long, t long, v binary").orderBy("lang", "h", "t").select("lang", "v")
+
+
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
+    """A model of the labelled rows whose crc32(doc_id as text) mod 5 is not 0."""
+    x, names = bytearray(), []
+    for row in sample(docs, per_language).toLocalIterator():  # 8 KB a row, a partition at a time
+        x += row["v"]
+        names.append(row["lang"])
+    return Model(np.frombuffer(x, "<f2").reshape(len(names), COLUMNS), np.array(names, dtype=object))
 
 
 def identify(docs: DataFrame, per_language: int = PER_LANGUAGE, model: Model | None = None, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operator 5: removal of repeated byte strings by suffix arrays.
 
-Every byte covered by a string of 400 bytes that also starts anywhere else goes.
+Every byte covered by a string of 400 bytes that also starts anywhere else goes
+(``Window`` sets other lengths; the figures below are those of 400).
 
 Anchors. In each 400-byte window the 128-byte gram with the smallest hash (the
 leftmost of equals) is the window's anchor. Equal windows choose the same gram
@@ -38,6 +39,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +50,15 @@ from pyspark.sql import functions as F
 from .common import python_ready, stored
 from .suffix_groups import suffix_array
 
-SPAN, GRAM = 400, 128
-REACH = SPAN - GRAM  # most bytes of a window before its anchor
+
+
+class Window(NamedTuple):
+    """Bytes of the strings that must repeat, and of the gram that anchors one."""
+
+    span: int = 400
+    gram: int = 128
+
+
 #: Contexts that one task compares at once, and symbols of its suffix array in bytes.
 GROUP, BUNDLE, SYMBOL = 8192, 4096, 68
 #: Distances per interval when a group is too large; then single windows.
@@ -83,23 +92,23 @@ def _table(base: int, n: int) -> np.ndarray:
     return _TABLES[key][:n]
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
+def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     """A 64-bit hash of the gram that starts at each byte: differences of one running sum."""
     n = len(data)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_CODE[data] * _table(_BASE, n), out=total[1:])
-    h = (total[GRAM:] - total[:-GRAM]) * _table(_INVERSE, n - GRAM + 1)
+    h = (total[gram:] - total[:-gram]) * _table(_INVERSE, n - gram + 1)
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(32)
     return h
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, size: Window) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(gram hash, anchor, first start, last start) of each run of windows with one anchor."""
-    hashes = gram_hashes(data)
+    hashes = gram_hashes(data, size.gram)
     least = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
-    width, want = 1, REACH + 1
+    width, want = 1, size.span - size.gram + 1
     while width < want:  # least over ever wider runs of grams, up to those of one window
         step = min(width, want - width)
         least = np.minimum(least[:-step], least[step:])
@@ -117,7 +126,7 @@ def text_id(data: bytes) -> int:
 ANCHOR = "tid long, n long, gram long, ctx long, start int, low short, high short"
 
 
-def find_anchors(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def find_anchors(docs: DataFrame, text_col: str, size: Window) -> DataFrame:
     """A row per anchor: text, gram, context hash, first start, distances of the last and the first window's start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,11 +134,11 @@ def find_anchors(docs: DataFrame, text_col: str = "text") -> DataFrame:
             cols: list[list[np.ndarray]] = [[] for _ in range(7)]
             for text in batch.column(0).to_pylist():
                 data = (text or "").encode()
-                if len(data) < SPAN:
+                if len(data) < size.span:
                     continue
-                gram, at, first, last = anchors(np.frombuffer(data, np.uint8))
+                gram, at, first, last = anchors(np.frombuffer(data, np.uint8), size)
                 low, high = at - last, at - first
-                ctx = np.array([_signed(xxhash.xxh3_64_intdigest(data[s : e + SPAN], lo << 10 | hi)) for s, e, lo, hi in zip(first.tolist(), last.tolist(), low.tolist(), high.tolist())], np.int64)
+                ctx = np.array([_signed(xxhash.xxh3_64_intdigest(data[s : e + size.span], lo << 10 | hi)) for s, e, lo, hi in zip(first.tolist(), last.tolist(), low.tolist(), high.tolist())], np.int64)
                 for col, x in zip(cols, (np.full(len(at), text_id(data)), np.full(len(at), len(data)), gram, ctx, first.astype(np.int32), low.astype(np.int16), high.astype(np.int16))):
                     col.append(x)
             if cols[0]:
@@ -187,12 +196,12 @@ def _common(rows: list[bytes], order: list[int]) -> np.ndarray:
     return out
 
 
-def shared_windows(groups: list[int], contexts: list[tuple[int, int, bytes]]) -> list[list[tuple[int, int]]]:
+def shared_windows(groups: list[int], contexts: list[tuple[int, int, bytes]], span: int) -> list[list[tuple[int, int]]]:
     """For each context the ranges of distances whose windows another context of its group has, too.
 
     A context is (low, high, bytes): its windows start ``low`` to ``high`` bytes
     before the anchor, and its bytes run from ``high`` before the anchor to
-    ``400 - low`` after it. ``groups`` numbers the group of each.
+    ``span - low`` after it. ``groups`` numbers the group of each.
     """
     rights = [c[high:] for _, high, c in contexts]
     lefts = [c[:high][::-1] for _, high, c in contexts]
@@ -205,18 +214,18 @@ def shared_windows(groups: list[int], contexts: list[tuple[int, int, bytes]]) ->
         stop = k + 1
         while stop < len(by_right) and groups[by_right[stop]] == groups[by_right[k]]:
             stop += 1
-        _sweep(by_right[k:stop], right_common[k:stop], by_left[k:stop], left_common[k:stop], contexts, found)
+        _sweep(by_right[k:stop], right_common[k:stop], by_left[k:stop], left_common[k:stop], contexts, found, span)
         k = stop
     return found
 
 
-def _sweep(by_right, right, by_left, left, contexts, found) -> None:
+def _sweep(by_right, right, by_left, left, contexts, found, span) -> None:
     n = len(by_right)
     if n < 2:
         return
     if n == 2:
         i, j = by_right
-        first = max(SPAN - int(right[1]), contexts[i][0], contexts[j][0])
+        first = max(span - int(right[1]), contexts[i][0], contexts[j][0])
         last = min(int(left[1]), contexts[i][1], contexts[j][1])
         if first <= last:
             found[i].append((first, last))
@@ -227,11 +236,11 @@ def _sweep(by_right, right, by_left, left, contexts, found) -> None:
     high = np.array([contexts[m][1] for m in members])
     at_right, at_left = np.searchsorted(members, by_right), np.searchsorted(members, by_left)
     # The classes by right bytes grow and those by left bytes split as the distance grows; between these points nothing changes.
-    turns = np.unique(np.concatenate([[0], SPAN - right[1:], left[1:] + 1, low, high + 1]))
+    turns = np.unique(np.concatenate([[0], span - right[1:], left[1:] + 1, low, high + 1]))
     turns = turns[(turns >= 0) & (turns <= int(high.max()) + 1)]
     right_class, left_class = np.empty(n, np.int64), np.empty(n, np.int64)
     for a, b in zip(turns, [*(turns[1:] - 1), turns[-1]]):
-        right_class[at_right] = np.cumsum(np.concatenate([[0], right[1:] < SPAN - a]))
+        right_class[at_right] = np.cumsum(np.concatenate([[0], right[1:] < span - a]))
         left_class[at_left] = np.cumsum(np.concatenate([[0], left[1:] < a]))
         valid = (low <= a) & (a <= high)
         code = np.where(valid, right_class * n + left_class, -1 - np.arange(n))
@@ -247,7 +256,7 @@ ROW = "key long, ctx long, tid long, n long, start int, low short, high short, c
 SPANS = "tid long, n long, start long, stop long"
 
 
-def _compare(rows: DataFrame) -> DataFrame:
+def _compare(rows: DataFrame, span: int) -> DataFrame:
     """Spans of the windows that contexts occurring once share with others of their key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,10 +264,10 @@ def _compare(rows: DataFrame) -> DataFrame:
             key = {}
             groups = [key.setdefault(r[0], len(key)) for r in held]
             out = []
-            for r, ranges in zip(held, shared_windows(groups, [(r[5], r[6], r[8]) for r in held])):
+            for r, ranges in zip(held, shared_windows(groups, [(r[5], r[6], r[8]) for r in held], span)):
                 if r[7] == 1:
                     anchor = r[4] + r[6]
-                    out += [(r[2], r[3], anchor - b, anchor - a + SPAN) for a, b in ranges]
+                    out += [(r[2], r[3], anchor - b, anchor - a + span) for a, b in ranges]
             return pa.RecordBatch.from_arrays([pa.array([s[k] for s in out], pa.int64()) for k in range(4)], names=["tid", "n", "start", "stop"])
 
         held: list[tuple] = []
@@ -274,7 +283,7 @@ def _compare(rows: DataFrame) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, SPANS)
 
 
-def _cut(rows: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+def _cut(rows: DataFrame, width: int, span: int) -> tuple[DataFrame, DataFrame]:
     """(classes, places) by finer keys: the windows of each interval of ``width`` distances, under the hash of the bytes they share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,8 +294,8 @@ def _cut(rows: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
             for key, _, tid, n, start, low, high, c, data in zip(*(x.to_pylist() for x in batch.columns)):
                 for piece in range(low // width, high // width + 1):
                     a, b = max(low, piece * width), min(high, piece * width + width - 1)
-                    core = data[high - piece * width : high + SPAN - (piece * width + width - 1)] if width > 1 else data[high - a : high - a + SPAN]
-                    part = data[high - b : high - a + SPAN]
+                    core = data[high - piece * width : high + span - (piece * width + width - 1)] if width > 1 else data[high - a : high - a + span]
+                    part = data[high - b : high - a + span]
                     finer = _signed(xxhash.xxh3_64_intdigest(core, (key ^ piece * _BASE) & (2**64 - 1)))
                     out.append((finer, _signed(xxhash.xxh3_64_intdigest(part, a << 10 | b)), tid, n, start + high - b, a, b, c, part))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kinds[k]) for k in range(9)], names=names)
@@ -297,23 +306,23 @@ def _cut(rows: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     return stored(pieces.groupBy("key", "ctx").agg(F.sum("c").alias("c"), *first), "windows"), stored(pieces.drop("bytes"), "places")
 
 
-def repeated_spans(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def repeated_spans(docs: DataFrame, text_col: str, size: Window) -> tuple[DataFrame, DataFrame]:
     """(spans, texts): covered spans (tid, n, start, stop), with overlaps, and (tid, n, text) of texts that may have some."""
-    found = stored(find_anchors(docs, text_col), "anchors")
+    found = stored(find_anchors(docs, text_col, size), "anchors")
     # Written, so that the join reads two plain shuffles and AQE can split a gram with very many anchors.
     grams = stored(found.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gram"), "grams")
     shared = stored(found.join(grams, "gram"), "shared")
     classes = stored(shared.groupBy("gram", "ctx").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("tid", "start")).alias("rep")), "contexts")
     groups = stored(classes.groupBy("gram").agg(F.count(F.lit(1)).alias("k"), F.min("c").alias("least")).where("k > 1 and least = 1").select("gram", "k"), "groups")
     told = shared.join(classes, ["gram", "ctx"])
-    spans = told.where("c > 1").select("tid", "n", F.col("start").cast("long").alias("start"), (F.col("start") + F.col("high") - F.col("low") + SPAN).cast("long").alias("stop")).distinct()
+    spans = told.where("c > 1").select("tid", "n", F.col("start").cast("long").alias("start"), (F.col("start") + F.col("high") - F.col("low") + size.span).cast("long").alias("stop")).distinct()
     open_ = told.where("rep.tid = tid and rep.start = start").join(groups, "gram")
     needs = open_.groupBy("tid", "n").agg(F.collect_set(F.struct(F.col("gram").alias("key"), "ctx", "start", "low", "high", "c", "k")).alias("needs"))
     touched = shared.select("tid", "n").distinct().join(needs, ["tid", "n"], "left")
     return spans, touched
 
 
-def _bytes_of(texts: DataFrame) -> DataFrame:
+def _bytes_of(texts: DataFrame, span: int) -> DataFrame:
     """The context rows that a text stands for, with their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,21 +332,21 @@ def _bytes_of(texts: DataFrame) -> DataFrame:
             out = []
             for tid, n, text, needs in zip(*(c.to_pylist() for c in batch.columns)):
                 data = text.encode()
-                out += [(d["key"], d["ctx"], tid, n, d["start"], d["low"], d["high"], d["c"], data[d["start"] : d["start"] + d["high"] - d["low"] + SPAN], d["k"]) for d in needs]
+                out += [(d["key"], d["ctx"], tid, n, d["start"], d["low"], d["high"], d["c"], data[d["start"] : d["start"] + d["high"] - d["low"] + span], d["k"]) for d in needs]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kinds[k]) for k in range(10)], names=names)
 
     return texts.mapInArrow(run, f"{ROW}, k long")
 
 
-def remove_repeats(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), with_text: bool = False, size: Window = Window()) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row, and the columns ``keep`` of ``docs``.
 
-    ``with_text`` adds ``kept_text``, the bytes that stay (characters that a
+    ``size`` says how long the repeated strings are. ``with_text`` adds ``kept_text``, the bytes that stay (characters that a
     cut went through are dropped).
     """
     spark = docs.sparkSession
     python_ready(spark)
-    spans, touched = repeated_spans(docs, text_col)
+    spans, touched = repeated_spans(docs, text_col, size)
     rows = docs.select(docs[doc_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), *[docs[c].alias(f"own_{c}") for c in keep])
     own = ", ".join(f"own_{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
 
@@ -350,20 +359,20 @@ def remove_repeats(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "te
     # The one shuffle of texts: texts without a repeated gram are finished here.
     placed = stored(known.join(touched.withColumn("touched", F.lit(True)), ["tid", "n"], "left"), "texts")
 
-    contexts = _bytes_of(placed.where("needs is not null").select("tid", "n", "text", "needs"))
+    contexts = _bytes_of(placed.where("needs is not null").select("tid", "n", "text", "needs"), size.span)
     level = stored(contexts.groupBy("key", "ctx", "tid", "n", "start", "low", "high", "c", "k").agg(F.first("bytes").alias("bytes")), "bytes")
     columns = [f.split()[0] for f in ROW.split(", ")]
-    every = [spans, _compare(level.where(F.col("k") <= GROUP).select(columns))]
+    every = [spans, _compare(level.where(F.col("k") <= GROUP).select(columns), size.span)]
     large = level.where(F.col("k") > GROUP)
     for width in WIDTHS:
         if large.isEmpty():
             break
-        classes, places = _cut(large.select(columns), width)
+        classes, places = _cut(large.select(columns), width, size.span)
         sizes = classes.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.min("c").alias("least"))
         told = places.drop("c").join(classes.select("key", "ctx", "c"), ["key", "ctx"])
-        every.append(told.where("c > 1").select("tid", "n", F.col("start").cast("long").alias("start"), (F.col("start") + F.col("high") - F.col("low") + SPAN).cast("long").alias("stop")))
+        every.append(told.where("c > 1").select("tid", "n", F.col("start").cast("long").alias("start"), (F.col("start") + F.col("high") - F.col("low") + size.span).cast("long").alias("stop")))
         level = classes.join(sizes, "key").where("k > 1 and least = 1")
-        every.append(_compare(level.where(F.col("k") <= GROUP).select(columns)))
+        every.append(_compare(level.where(F.col("k") <= GROUP).select(columns), size.span))
         large = level.where(F.col("k") > GROUP)  # a single window's key has one context, so none is left after the last width
 
     whole = every[0]

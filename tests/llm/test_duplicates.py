@@ -195,6 +195,14 @@ def test_repeats_removed_like_counting_every_window(spark, monkeypatch, group):
     assert [tuple(r)[1:] for r in rows] == without_repeats(texts)
 
 
+@pytest.mark.parametrize("size", [(200, 64), (64, 20)])
+def test_repeats_of_other_lengths(spark, size):
+    texts = passages()
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = sorted(suffix_dedup.remove_repeats(df, size=suffix_dedup.Window(*size)).collect())
+    assert [tuple(r)[1:] for r in rows] == without_repeats(texts, size[0])
+
+
 def test_repeats_of_edge_documents(spark):
     docs = edge_docs(spark)
     rows = docs.collect()
