@@ -120,7 +120,7 @@ def limit(percent: int) -> int:
 
 
 def describe(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, node, twin, sig): node and twin are two 64-bit hashes of the set."""
+    """(doc_id, n_shingles, node, twin, sig, text_hash): node and twin are two 64-bit hashes of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,13 +133,14 @@ def describe(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text") -
                     pa.array([signed(s, 1) for s in sets], pa.int64()),
                     pa.array([signed(s, 2) for s in sets], pa.int64()),
                     pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                    batch.column(2),
                 ],
-                names=["doc_id", "n_shingles", "node", "twin", "sig"],
+                names=["doc_id", "n_shingles", "node", "twin", "sig", "text_hash"],
             )
 
     python_ready(docs.sparkSession)
-    rows = docs.select(docs[doc_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, node long, twin long, sig binary")
+    rows = docs.select(docs[doc_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("text_hash"))
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, node long, twin long, sig binary, text_hash long")
 
 
 def _members(nodes: DataFrame) -> DataFrame:
@@ -343,8 +344,13 @@ def _confirmed_lists(lists: DataFrame, sets: DataFrame, percent: int) -> DataFra
     return stored(rows.repartition("id").sortWithinPartitions("id", F.asc_nulls_first("node")).mapInArrow(run, "a long, b long"), "links")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row; ``kept`` marks the smallest id of a component."""
+def near_duplicates(docs: DataFrame, percent: int = 85, doc_col: str = "doc_id", text_col: str = "text", named: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row; ``kept`` marks the smallest id of a component.
+
+    ``named`` adds (root, text_hash): a name of the component that rows with one
+    id and unrelated texts do not share (null for a row without words), and the
+    ``xxhash64`` of the text.
+    """
     if percent < 80:
         raise ValueError("the index is laid out for similarities of 0.8 and more")
     most = limit(percent)
@@ -363,11 +369,25 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_col: str = "doc_id",
     third = _confirmed_lists(_block_pairs(_labelled(members, parts), nodes, percent), sets, percent)
     known = extended(parts, third).select("node", F.col("up").alias("found"))
     own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("found", "node"))
-    rooted = rows.select("doc_id", "n_shingles", "node").join(known, "node", "left").withColumn("root", own)
+    rooted = rows.select("doc_id", "n_shingles", "node", "text_hash").join(known, "node", "left").withColumn("root", own)
     names = stored(rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least")), "names")
     return rooted.join(names, "root", "left").select(
         "doc_id",
         "n_shingles",
         F.coalesce("least", "doc_id").alias("component_id"),
         F.coalesce(F.col("doc_id") == F.col("least"), F.lit(True)).alias("kept"),
+        *(["root", "text_hash"] if named else []),
     )
+
+
+def representatives(docs: DataFrame, percent: int = 85, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each component: the smallest id's, and of its texts the one with the smallest hash.
+
+    Rows without words or without an id stay, equal ones (id and text) once.
+    """
+    kept = near_duplicates(docs, percent, doc_col, text_col, named=True).where("kept")
+    chosen = kept.groupBy("doc_id", "root", F.when(F.col("root").isNull(), F.col("text_hash")).alias("own")).agg(F.min("text_hash").alias("text_hash"))
+    chosen = stored(chosen.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.col("text_hash").alias("_t")).distinct(), "chosen")
+    name = F.coalesce(docs[doc_col].cast("string"), F.lit(""))
+    rows = docs.withColumn("_id", name).withColumn("_t", F.xxhash64(docs[text_col]))
+    return rows.join(chosen, ["_id", "_t"]).dropDuplicates(["_id", "_t"]).drop("_id", "_t")  # the join has dealt the rows by these already

@@ -120,6 +120,17 @@ def test_minhash_join_of_edge_documents(spark):
     assert minhash_join.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_representatives_keep_one_row_of_each_component(spark):
+    words = [f"w{k}" for k in range(60)]
+    a, near, other = " ".join(words), " ".join([*words, "more"]), " ".join(reversed(words))
+    rows = [(1, a), (1, near), (1, other), (2, a), (3, near), (3, "quite another text of six words"), (4, None), (4, ""), (5, "  "), (None, a), (None, "no id"), (6, other), (6, other)]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, own int")
+    got = [(r.doc_id, r.text) for r in minhash_join.representatives(docs, 80).collect()]
+    # Of id 1, one of the two texts that are near each other stays, and the unrelated one.
+    assert len([t for i, t in got if i == 1 and t in (a, near)]) == 1 and (1, other) in got
+    assert sorted((g for g in got if g[0] != 1), key=str) == sorted([(3, rows[5][1]), (4, None), (4, ""), (5, "  "), (None, a), (None, "no id")], key=str)
+
+
 def plain_links(rows, cosine):
     linked = {i: set() for i in range(len(rows))}
     for i, (a, x, k) in enumerate(rows):
