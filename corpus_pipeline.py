@@ -7,8 +7,8 @@ per piece. ``ORACLE_SQL`` is None: SQL can't express the tokenizer or a trained
 classifier. The tests hold the pipeline against a brute-force version.
 
 Defined results: null and empty texts go in the first stage (no letter);
-repeated rows (same id and text) are one document from the third stage on; a
-document whose bytes all repeat elsewhere stays, with an empty text; an empty
+repeated rows (same id and text) are one document from the third stage on, and
+of one id's texts those in one group; a document whose bytes all repeat elsewhere stays, with an empty text; an empty
 table gives no row.
 """
 
@@ -22,6 +22,8 @@ from reviewforge.llm.common import stored, table
 
 #: Least similarity of near-duplicates, in percent.
 SIMILAR = 80
+#: Bytes of a string that may not repeat: 51 words with the spaces after them are rarely fewer.
+REPEATED = suffix_dedup.Window(span=200, gram=64)
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -37,16 +39,13 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    docs = docs.select(*COLUMNS)
-    ids = minhash_join.near_duplicates(docs, SIMILAR).where("kept and doc_id is not null").select("doc_id").distinct()
-    once = docs.join(ids, "doc_id").dropDuplicates(["doc_id", "text"])  # the join has dealt the rows by id already
-    return once.unionByName(docs.where("doc_id is null")).select(*COLUMNS)
+    return minhash_join.representatives(docs.select(*COLUMNS), SIMILAR).select(*COLUMNS)
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the byte strings that repeat."""
     others = ("lang", "source")
-    left = suffix_dedup.remove_repeats(docs, keep=others, with_text=True)
+    left = suffix_dedup.remove_repeats(docs, keep=others, with_text=True, size=REPEATED)
     return left.select("doc_id", F.col("kept_text").alias("text"), *others, F.length("kept_text").cast("long").alias("n_chars"))
 
 
