@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from reviewforge.plans.joins import join_per_key
+
 from .common import python_ready
 
 #: Families of the languages by ISO 639-1 code; a language that is not listed is a family of its own.
@@ -130,7 +132,7 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
 
     Two jobs, whatever the number of languages. The k-th smallest hash of a
     language is found on (language, hash) alone, the top k of each task at most
-    being shuffled; only texts up to it are read again. Rows with the same id
+    being shuffled; only texts up to it are read again, without a shuffle of the others. Rows with the same id
     share a hash, so what passes is ranked once more. ``v``: half precision.
     """
     learn = docs.select(docs["doc_id"], docs["text"], docs["lang"]).where((F.crc32(F.col("doc_id").cast("string")) % 5 != 0) & F.col("lang").isNotNull())
@@ -146,7 +148,7 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
 
     by_hash = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     bounds = learn.select("lang", "h").withColumn("nth", by_hash).where(F.col("nth") <= per_language).groupBy("lang").agg(F.max("h").alias("bound"))
-    near = learn.join(bounds, "lang").where("h <= bound").withColumn("t", F.xxhash64("text"))
+    near = join_per_key(learn, bounds, "lang").where("h <= bound").withColumn("t", F.xxhash64("text"))
     ranked = near.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("h", "t"))).where(F.col("nth") <= per_language)
     return ranked.select("lang", "h", "t", "text").mapInArrow(run, "lang string, h long, t long, v binary").orderBy("lang", "h", "t").select("lang", "v")
 
