@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.joins import BROADCAST_BYTE_LIMIT, measured_bytes
+from ..session import written
+
 LEDGER_COLUMNS = [
     "appid",
     "recommendationid",
@@ -51,6 +54,48 @@ def compact_latest(ledger: DataFrame, key: tuple[str, ...] = ("appid", "recommen
     )
 
 
+_FILE, _ROW = "_file", "_row"
+
+
+def _located(ledger: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of a ledger read from Parquet files, and where each row lies."""
+    return ledger.select(*columns, F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.row_index").alias(_ROW))
+
+
+def compact_stored(
+    ledger: DataFrame,
+    key: tuple[str, ...] = ("appid", "recommendationid"),
+    byte_limit: int = BROADCAST_BYTE_LIMIT,
+) -> DataFrame:
+    """``compact_latest`` of a ledger that is read straight from Parquet files, with late materialization.
+
+    The window sees only the key, the order columns and a row locator (file
+    and row index), so no payload is shuffled or sorted to find the newest
+    versions. The locators are written; payloads are then fetched in a second
+    scan. Superseded rows are the few of most loads: while their locators
+    measure up to ``byte_limit`` they are broadcast and left out by an anti
+    join, and no payload moves at all. Else, if the winners' do, those are
+    broadcast. Beyond both, winners and rows meet by locator in a shuffled
+    hash join, unsorted, where Spark may put its runtime Bloom filter before
+    the shuffle.
+    """
+    order = ["updated_at", "ingested_at", "load_id", "hash_payload"]
+    narrow = _located(ledger, list(dict.fromkeys([*key, *order])))
+    # Full ties are equal in every column that the order names; the locator settles them.
+    by_age = Window.partitionBy(*key).orderBy(*latest_order(), F.col(_FILE), F.col(_ROW))
+    ranked = written(narrow.select(_FILE, _ROW, (F.row_number().over(by_age) == 1).alias("_newest")), "locators")
+    newest = ranked.filter("_newest").select(_FILE, _ROW)
+    superseded = ranked.filter("not _newest").select(_FILE, _ROW)
+    rows = _located(ledger, LEDGER_COLUMNS)
+    if measured_bytes(superseded) <= byte_limit:
+        kept = rows.join(F.broadcast(superseded), [_FILE, _ROW], "left_anti")
+    elif measured_bytes(newest) <= byte_limit:
+        kept = rows.join(F.broadcast(newest), [_FILE, _ROW], "left_semi")
+    else:
+        kept = rows.join(newest.hint("shuffle_hash"), [_FILE, _ROW], "left_semi")
+    return kept.select(*LEDGER_COLUMNS)
+
+
 def version_history(ledger: DataFrame) -> DataFrame:
     """Latest row per content version ``(appid, recommendationid, hash_payload)``,
     i.e. one row per distinct payload a review has had."""

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -60,6 +60,39 @@ def _out_of_range(c: Check):
     return F.coalesce(~ok, F.lit(False))  # NULL passes
 
 
+def _failures(c: Check):
+    """How many rows fail a check that looks at one row at a time."""
+    return F.count_if(F.col(c.column).isNull() if c.test == "not_null" else _out_of_range(c))
+
+
+class Observed:
+    """The null and range checks of a model, counted while its rows are written.
+
+    ``rows`` is the DataFrame to write in place of the given one; after the
+    write, ``failures()`` holds the counts, with no second scan. Only the
+    ``unique`` checks still need one, of the key columns.
+    """
+
+    def __init__(self, model: str, df: DataFrame, checks=CHECKS):
+        self.checks = [c for c in checks if c.model == model and c.test in ("not_null", "accepted_range")]
+        self.observation = Observation(f"checks of {model}")
+        counts = [_failures(c).alias(f"c{i}") for i, c in enumerate(self.checks)]
+        self.rows = df.observe(self.observation, *counts) if counts else df
+
+    def failures(self) -> list[dict]:
+        counted = self.observation.get if self.checks else {}
+        return [
+            {"model": c.model, "column_name": c.column, "test_name": c.test, "failures": counted[f"c{i}"]}
+            for i, c in enumerate(self.checks)
+        ]
+
+
+def raise_failed(rows: list[dict]) -> None:
+    failed = [r for r in rows if r["failures"]]
+    if failed:
+        raise DataQualityError(failed)
+
+
 def run_checks(tables: dict[str, DataFrame], checks=CHECKS) -> DataFrame:
     """Evaluate the checks of every model present in ``tables``."""
     parts: list[DataFrame] = []
@@ -67,11 +100,7 @@ def run_checks(tables: dict[str, DataFrame], checks=CHECKS) -> DataFrame:
         mine = [c for c in checks if c.model == model]
         scalar = [c for c in mine if c.test in ("not_null", "accepted_range")]
         if scalar:
-            exprs = []
-            for i, c in enumerate(scalar):
-                cond = F.col(c.column).isNull() if c.test == "not_null" else _out_of_range(c)
-                exprs.append(F.count_if(cond).alias(f"c{i}"))
-            row = df.agg(*exprs)
+            row = df.agg(*[_failures(c).alias(f"c{i}") for i, c in enumerate(scalar)])
             stacked = F.explode(
                 F.array(
                     *[
@@ -115,8 +144,5 @@ def gate(results: DataFrame) -> DataFrame:
 
     The result table holds one row per check (a handful), so collecting it
     is bounded by the number of declared checks, not by the data."""
-    rows = [r.asDict() for r in results.collect()]
-    failed = [r for r in rows if r["failures"]]
-    if failed:
-        raise DataQualityError(failed)
+    raise_failed([r.asDict() for r in results.collect()])
     return results

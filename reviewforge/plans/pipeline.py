@@ -84,8 +84,18 @@ def run_ingest(
 
 
 def _publish_checked(spark: SparkSession, df: DataFrame, base: str, version: str, model: str) -> DataFrame:
-    staged = store.stage_version(df, base, version)
-    quality.gate(quality.run_checks({model: staged}))
+    """Write ``df`` as a version and publish it if its checks pass.
+
+    Null and range checks are counted by the write itself; only the uniqueness
+    checks read the staged files, the key column alone. A failure leaves a
+    folder that no pointer names.
+    """
+    observed = quality.Observed(model, df)
+    staged = store.stage_version(observed.rows, base, version)
+    quality.raise_failed(observed.failures())
+    unique = [c for c in quality.CHECKS if c.model == model and c.test == "unique"]
+    if unique:
+        quality.gate(quality.run_checks({model: staged}, unique))
     store.publish_version(spark, base, version)
     return staged
 
@@ -99,7 +109,7 @@ def build_models(
     """Ledger -> compacted view -> silver table -> gold table, each checked."""
     version = version or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
     raw = store.read_ledger(spark, paths.ledger)
-    compacted = compaction.compact_latest(raw)
+    compacted = compaction.compact_stored(store.ledger_files(spark, paths.ledger))
     quality.gate(quality.run_checks({"steam_reviews_raw": raw, "steam_reviews_raw_compacted": compacted}))
     silver = _publish_checked(spark, enrich.enrich(compacted), paths.silver, version, "steam_reviews_enriched")
     gold = _publish_checked(

@@ -639,3 +639,39 @@ def q_metric_default_time(spark, sf_dir):
     published = ST.read_current(spark, _built(spark, sf_dir).gold)
     SEM.check_primary_entity(published)
     return round_doubles(SEM.query_metrics(published, _METRICS, ["metric_time"]))
+
+
+@register("compact_stored", ORACLE["compact_latest"])
+def q_compact_stored(spark, sf_dir):
+    """Fixture L in a stored ledger, compacted by row locators; payloads are fetched last."""
+    _prep(spark)
+    paths = _fresh_paths(spark)
+    ST.prepare_storage(spark, paths.ledger, paths.watermarks)
+    ST.append_ledger(ledger(spark, sf_dir), paths.ledger)
+    return compaction.compact_stored(ST.ledger_files(spark, paths.ledger))
+
+
+@register("bucketed_upsert", ORACLE["incremental_upsert"])
+def q_bucketed_upsert(spark, sf_dir):
+    """Silver of the first load in hash buckets, the second merged into those that it touches; read by the manifest."""
+    from ..sources import buckets as BK
+
+    raw = ledger(spark, sf_dir)
+    base = _fresh_paths(spark).silver
+    for load, version in (("L1", "v1"), ("L2", "v2")):
+        BK.merge_buckets(enrich.enrich(raw.filter(F.col("load_id") == load)), base, version)
+    return round_doubles(BK.read_buckets(spark, base))
+
+
+# The oracle knows nothing of cursors: it admits the pages as they were before they were renumbered and landed twice.
+@register("linked_pages", ORACLE["page_explode"])
+def q_linked_pages(spark, sf_dir):
+    """Pages without usable numbers, some landed before with other contents, read by following their cursors."""
+    from ..operators import cursors as CU
+
+    pg = pages(spark, sf_dir)
+    unnumbered = pg.withColumn("page", F.pmod(F.xxhash64("cursor", "app_id"), F.lit(7)).cast("int"))
+    stale = unnumbered.filter(F.length("cursor") % 2 == 0).withColumn("fetched_at", F.lit("2000-01-01T00:00:00"))
+    stale = stale.withColumn("body", F.lit('{"success": 1, "cursor": "c1", "reviews": [{"recommendationid": "stale"}]}'))
+    admitted = CU.admit_linked(unnumbered.unionByName(stale))
+    return PG.explode_reviews(admitted).select("app_id", "page", "pos", "cursor", "fetched_at", "payload")

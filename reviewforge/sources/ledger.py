@@ -100,6 +100,11 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).parquet(path).select(*cols)
 
 
+def ledger_files(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger's files themselves, for readers that address rows by file and row index."""
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+
+
 def append_watermarks(watermarks: DataFrame, path: str) -> None:
     """One row per app and run, in the run's ``load_id`` folder."""
     _write_runs(watermarks.select(*[f.name for f in WATERMARK_SCHEMA.fields]).hint("rebalance"), path, ["load_id"])
