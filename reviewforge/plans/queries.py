@@ -130,7 +130,8 @@ def q_enriched_reviews(spark, sf_dir):
 
 @register(
     "app_bounds",
-    _with(*_CHAIN, O.gold_ctes(BASE_PARAMS)) + "select * from gold_bounds",
+    _with(*_CHAIN, O.gold_ctes(BASE_PARAMS)) + "select app_id, born as first_review_at, newest as latest_review_at, moved as record_changed_at, "
+    "touched as latest_review_updated_at from gold_life",
 )
 def q_app_bounds(spark, sf_dir):
     return metrics.app_bounds(metrics.eligible_reviews(narrow_silver(silver(spark, sf_dir))))
@@ -139,10 +140,9 @@ def q_app_bounds(spark, sf_dir):
 @register(
     "app_half_lives",
     _with(*_CHAIN, O.gold_ctes(BASE_PARAMS))
-    + "select app_id, round(tenure_days, 6) as tenure_days, round(h_short, 6) as h_short, "
-    "round(h_long, 6) as h_long, round(h_pos, 6) as h_pos, round(lambda_short, 6) as lambda_short, "
-    "round(lambda_long, 6) as lambda_long, round(lambda_pos, 6) as lambda_pos "
-    "from gold_tenure join gold_lambdas using (app_id)",
+    + "select app_id, round(days, 6) as tenure_days, round(short_half, 6) as h_short, "
+    "round(long_half, 6) as h_long, round(pos_half, 6) as h_pos, round(ln(2) / short_half, 6) as lambda_short, "
+    "round(ln(2) / long_half, 6) as lambda_long, round(ln(2) / pos_half, 6) as lambda_pos from gold_life",
 )
 def q_app_half_lives(spark, sf_dir):
     bounds = metrics.app_bounds(metrics.eligible_reviews(narrow_silver(silver(spark, sf_dir))))
@@ -155,8 +155,9 @@ def q_app_half_lives(spark, sf_dir):
 @register(
     "decay_weights",
     _with(*_CHAIN, O.gold_ctes(BASE_PARAMS))
-    + "select app_id, y, round(age_days, 6) as age_days, round(lambda_short, 6) as lambda_short, "
-    "round(lambda_long, 6) as lambda_long, round(lambda_pos, 6) as lambda_pos from gold_weighted",
+    + "select app_id, vote as y, round(age, 6) as age_days, round(ln(2) / short_half, 6) as lambda_short, "
+    "round(ln(2) / long_half, 6) as lambda_long, round(ln(2) / pos_half, 6) as lambda_pos "
+    "from gold_votes join gold_life using (app_id)",
 )
 def q_decay_weights(spark, sf_dir):
     reviews = metrics.eligible_reviews(narrow_silver(silver(spark, sf_dir)))
@@ -168,8 +169,8 @@ def q_decay_weights(spark, sf_dir):
 @register(
     "weighted_sums",
     _with(*_CHAIN, O.gold_ctes(BASE_PARAMS))
-    + "select app_id, round(w_pos_num, 6) as w_pos_num, round(w_pos_den, 6) as w_pos_den, "
-    "round(ew_short, 6) as ew_short, round(ew_long, 6) as ew_long from gold_sums",
+    + "select app_id, round(pos_ups, 6) as w_pos_num, round(pos_all, 6) as w_pos_den, "
+    "round(recent, 6) as ew_short, round(lasting, 6) as ew_long from gold_halved",
 )
 def q_weighted_sums(spark, sf_dir):
     reviews = metrics.eligible_reviews(narrow_silver(silver(spark, sf_dir)))

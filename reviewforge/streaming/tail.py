@@ -42,10 +42,13 @@ def _ledger_from_landing(batch: DataFrame, load_id: str, ingested_at: _dt.dateti
 
 
 def _batch_watermarks(rows: DataFrame, load_id: str, recorded_at: _dt.datetime) -> DataFrame:
-    """Per app in the batch: cursor of the latest page, latest update time."""
+    """Per app in the batch: the last non-empty cursor by page, as in a run's
+    watermarks, and the latest update time. A page has one request cursor, so
+    its reviews need no order among them."""
     page = F.try_variant_get(F.try_parse_json(F.col("payload")), "$.page", "int")
+    named = F.col("cursor").isNotNull() & (F.col("cursor") != F.lit(""))
     per_app = rows.withColumn("_page", page).groupBy("appid").agg(
-        F.max_by("cursor", F.struct("_page", "recommendationid")).alias("cursor"),
+        F.max(F.when(named, F.struct("_page", "cursor")))["cursor"].alias("cursor"),
         F.max("updated_at").alias("max_updated_at"),
     )
     return per_app.select(
