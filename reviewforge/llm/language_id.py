@@ -44,6 +44,8 @@ FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes.s
 COLUMNS = 4096
 #: Labelled documents of a language that the classifier is fitted on, at most.
 PER_LANGUAGE = 1000
+#: Tasks of a language that thin out its hashes.
+SPREAD = 64
 UND = "und"
 
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
@@ -146,8 +148,14 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
             packed = [v.astype("<f2").tobytes() for v in cols[3]]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(packed, pa.binary())], names=["lang", "h", "t", "v"])
 
-    by_hash = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    bounds = learn.select("lang", "h").withColumn("nth", by_hash).where(F.col("nth") <= per_language).groupBy("lang").agg(F.max("h").alias("bound"))
+    def least(rows: DataFrame, *by: str) -> DataFrame:
+        """The k smallest hashes of each group."""
+        nth = F.row_number().over(Window.partitionBy(*by).orderBy("h"))
+        return rows.withColumn("nth", nth).where(F.col("nth") <= per_language).drop("nth")
+
+    # Every task sends up to k hashes of a language; they meet in ``SPREAD`` tasks before they meet in one.
+    narrow = learn.select("lang", "h", (F.spark_partition_id() % SPREAD).alias("part"))
+    bounds = least(least(narrow, "lang", "part"), "lang").groupBy("lang").agg(F.max("h").alias("bound"))
     near = join_per_key(learn, bounds, "lang").where("h <= bound").withColumn("t", F.xxhash64("text"))
     ranked = near.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("h", "t"))).where(F.col("nth") <= per_language)
     return ranked.select("lang", "h", "t", "text").mapInArrow(run, "lang string, h long, t long, v binary").orderBy("lang", "h", "t").select("lang", "v")

@@ -42,7 +42,9 @@ from .common import python_ready, stored
 from .token_files import Encoder
 
 #: Bytes of text that are aligned at once, and that make a bundle.
-SLICE, BUNDLE = 1 << 20, 8 << 20
+SLICE, BUNDLE = 1 << 20, 4 << 20
+#: Pieces that A's memo holds: less than where the encoder is alone, for the joins beside it.
+PIECES = 300_000
 
 ALIGNED = "bundle long, row int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>"
 PARTIAL = "bundle long, pair long, n long"
@@ -62,6 +64,7 @@ class Bytewise(Encoder):
         self.lib = Tokenizer.from_file(path)
         self.lib.encode_special_tokens = True
         self.model, self.special = self.lib.model, []
+        self.pieces.limit = PIECES
         code = {c: b for b, c in enumerate(byte_chars())}
         model = vocabulary(path)
         names = {i: t for t, i in {**model["added"], **model["vocab"]}.items()}
