@@ -457,13 +457,13 @@ def gold_defects_cte(name: str = "gold_defects") -> str:
 
 
 def _sorted_object(text: str, nested: tuple[str, ...] = ()) -> str:
-    """Minified JSON text of an object with its keys sorted; ``nested`` keys are objects treated alike."""
+    """JSON text of an object with its keys sorted; ``nested`` keys are objects treated alike."""
     value = f"cast(json_extract({text}, '$.\"' || k || '\"') as varchar)"
     for key in nested:
         inner = f"json_extract({text}, '$.{key}')"
         value = f"case when k = '{key}' and json_type({inner}) = 'OBJECT' then {_sorted_object(inner)} else {value} end"
-    members = f"list_transform(list_sort(json_keys({text})), lambda k: cast(to_json(k) as varchar) || ':' || {value})"
-    return f"('{{' || array_to_string({members}, ',') || '}}')"
+    members = f"list_transform(list_sort(json_keys({text})), lambda k: cast(to_json(k) as varchar) || ': ' || {value})"
+    return f"('{{' || array_to_string({members}, ', ') || '}}')"
 
 
 def payload_hash_sql() -> str:
