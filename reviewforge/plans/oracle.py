@@ -448,6 +448,22 @@ def defects_cte(name: str = "defects") -> str:
     from (select *, hash_payload[1] as digit from ledger) where load_id = 'L1' and digit <= '6')"""
 
 
+def drift_cte(name: str = "drifted") -> str:
+    """Fixture L with the payloads of load L2 changed."""
+    changed = """replace(replace(regexp_replace(payload, '"votes_funny":([0-9]+)', '"votes_funny":"\\1"'), '"fetched_at"', '"fetched"'),
+        '"num_reviews":', '"device":{"deck":{"oled":true},"hours":[1.5]},"num_reviews":')"""
+    return f"{name} as (select * exclude (payload), if(load_id = 'L2', {changed}, payload) as payload from ledger)"
+
+
+def paths_cte(src: str = "drifted", name: str = "paths") -> str:
+    """Every node of every payload, walked as a tree."""
+    return f"""{name} as (
+    select load_id, regexp_replace(t.fullkey, '\\[[0-9]+\\]', '[*]', 'g') as path,
+        case t.type when 'VARCHAR' then 'string' when 'DOUBLE' then 'number' when 'UBIGINT' then 'integer'
+            when 'BIGINT' then 'integer' else lower(t.type) end as type, count(*) as rows
+    from {src}, json_tree({src}.payload) t group by 1, 2, 3)"""
+
+
 def gold_defects_cte(name: str = "gold_defects") -> str:
     return f"""{name} as (
     select if(k % 13 = 0, null, app_id) as app_id,

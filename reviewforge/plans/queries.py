@@ -427,6 +427,7 @@ for _t in ("not_null", "unique", "accepted_range"):
 
 # -------------------------------------------------------------- indicators
 
+from ..operators import drift as DR  # noqa: E402
 from ..operators import indicators as K  # noqa: E402
 from ..sources import ledger as ST  # noqa: E402
 
@@ -526,6 +527,24 @@ def q_drift_keys(spark, sf_dir):
     return K.drift_keys(ledger(spark, sf_dir))
 
 
+@register("payload_paths", _with(O.ledger_cte(), O.drift_cte(), O.paths_cte()) + "select * from paths")
+def q_payload_paths(spark, sf_dir):
+    return DR.payload_paths(fixtures.ledger_with_drift(ledger(spark, sf_dir)))
+
+
+@register(
+    "schema_drift",
+    _with(O.ledger_cte(), O.drift_cte(), O.paths_cte())
+    + """select 'L2' as load_id, path, case when types_before is null then 'new' when types_now is null then 'gone' else 'retyped' end as change,
+    types_before, types_now, coalesce(rows, 0)::bigint as rows
+from (select path, string_agg(type, '|' order by type) as types_before from paths where load_id = 'L1' group by path)
+full join (select path, string_agg(type, '|' order by type) as types_now, sum(rows) as rows from paths where load_id = 'L2' group by path)
+    using (path) where types_before is distinct from types_now""",
+)
+def q_schema_drift(spark, sf_dir):
+    return DR.schema_drift(fixtures.ledger_with_drift(ledger(spark, sf_dir)))
+
+
 # The oracle knows nothing of the merge: it compacts both loads together.
 @register(
     "incremental_upsert",

@@ -286,3 +286,13 @@ def gold_with_defects(gold: DataFrame) -> DataFrame:
         F.when(app % 7 == 0, F.col("avg_rating") + 1.5).when(app % 5 != 0, F.col("avg_rating")).alias("avg_rating"),
         F.when(app % 3 == 0, F.lit(-0.5)).otherwise(F.col("edp_current")).alias("edp_current"),
     )
+
+
+def ledger_with_drift(ledger: DataFrame) -> DataFrame:
+    """Fixture L as if the API had changed before load L2: ``votes_funny`` as text,
+    ``fetched_at`` under another name, and an object in an object of the author."""
+    p = F.col("payload")
+    p = F.regexp_replace(p, r'"votes_funny":([0-9]+)', r'"votes_funny":"$1"')
+    p = F.replace(p, F.lit('"fetched_at"'), F.lit('"fetched"'))
+    p = F.replace(p, F.lit('"num_reviews":'), F.lit('"device":{"deck":{"oled":true},"hours":[1.5]},"num_reviews":'))
+    return ledger.withColumn("payload", F.when(F.col("load_id") == "L2", p).otherwise(F.col("payload")))
