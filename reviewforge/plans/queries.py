@@ -640,6 +640,26 @@ def q_stored_watermarks(spark, sf_dir):
     return ST.read_watermarks(spark, paths.watermarks)
 
 
+@register(
+    "streamed_watermarks",
+    f"select appid, cursor, max_updated_at from ({ORACLE['load_watermarks']}) where review_count > 0",
+)
+def q_streamed_watermarks(spark, sf_dir):
+    """One run's landing files read as a stream; the last watermarks in its state. An app without reviews lands no file."""
+    import uuid
+
+    from ..streaming.watermarks import latest_watermarks, stream_watermarks
+
+    pg = pages(spark, sf_dir)
+    run = ING.ingest(pg, fixtures.requested_apps(pg), RUN_TS)
+    paths = _fresh_paths(spark)
+    ST.write_landing(run.reviews, paths.landing, RUN_LOAD_ID)
+    run.release()
+    state = f"{checkpoint_dir(spark).rstrip('/')}/state-{uuid.uuid4().hex}"
+    stream_watermarks(spark, paths.landing, paths.watermarks, state).awaitTermination()
+    return latest_watermarks(ST.read_watermarks(spark, paths.watermarks))
+
+
 @register("published_gold", ORACLE["adaptive_metrics"])
 def q_published_gold(spark, sf_dir):
     """Gold of the gated build, read through its SQL view."""
