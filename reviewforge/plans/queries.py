@@ -703,6 +703,22 @@ def q_bucketed_upsert(spark, sf_dir):
     return round_doubles(BK.read_buckets(spark, base))
 
 
+# The oracle knows nothing of the refresh: it builds gold from both loads at once.
+@register("refreshed_gold", ORACLE["adaptive_metrics"])
+def q_refreshed_gold(spark, sf_dir):
+    """Gold of the first load, brought up to date after the second was merged into silver."""
+    from ..sources import buckets as BK
+    from . import refresh
+
+    raw = ledger(spark, sf_dir)
+    paths = _fresh_paths(spark)
+    for load, version in (("L1", "v1"), ("L2", "v2")):
+        batch = enrich.enrich(raw.filter(F.col("load_id") == load))
+        BK.merge_buckets(batch, paths.silver, version, bucket_by=refresh.APP_BUCKETS)
+        done = refresh.refresh_gold(spark, paths.silver, paths.gold, version, BASE_PARAMS)
+    return round_doubles(done.gold)
+
+
 # The oracle knows nothing of cursors: it admits the pages as they were before they were renumbered and landed twice.
 @register("linked_pages", ORACLE["page_explode"])
 def q_linked_pages(spark, sf_dir):
