@@ -579,6 +579,38 @@ def q_schema_evolution_append(spark, sf_dir):
     return ST.append_new_columns(old, new)
 
 
+@register(
+    "widened_append",
+    _with(O.ledger_cte(), O.enriched_cte(src="ledger"))
+    + """select app_id, recommendationid, cast(helpful_votes as bigint) as helpful_votes, cast(comment_count as double) as comment_count,
+    cast(page as varchar) as page, voted_up, cast(null as varchar) as review_language from silver where bronze_load_id = 'L1'
+union all by name
+select app_id, recommendationid, cast(helpful_votes as bigint) * 4000000000 as helpful_votes, comment_count + 0.5 as comment_count,
+    'p' || page as page, review_language from silver where bronze_load_id = 'L2'""",
+)
+def q_widened_append(spark, sf_dir):
+    """Two loads of silver columns appended; in the second a count is a bigint, another a double, the page a text, one column is new and one gone."""
+    from ..sources import evolving as EV
+
+    s = enrich.enrich(ledger(spark, sf_dir)).select(
+        "app_id", "recommendationid", "helpful_votes", "comment_count", "page", "voted_up", "review_language", "bronze_load_id"
+    )
+    s = written(s, "silver")
+    first = s.filter(F.col("bronze_load_id") == "L1").drop("bronze_load_id", "review_language")
+    second = s.filter(F.col("bronze_load_id") == "L2").select(
+        "app_id",
+        "recommendationid",
+        (F.col("helpful_votes").cast("bigint") * 4000000000).alias("helpful_votes"),
+        (F.col("comment_count") + F.lit(0.5)).alias("comment_count"),
+        F.concat(F.lit("p"), F.col("page")).alias("page"),
+        "review_language",
+    )
+    base = _fresh_paths(spark).silver
+    EV.append_batch(first, base, "L1")
+    EV.append_batch(second, base, "L2")
+    return EV.read_evolved(spark, base)
+
+
 @register(
     "landing_roundtrip",
     _with(*_PAGES, O.admitted_ctes(), O.exploded_cte())
