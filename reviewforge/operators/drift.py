@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 ROOT = "$"
 _ITEM = "[*]"
 # What the type names of a shape stand for.
@@ -86,12 +88,14 @@ def schema_drift(ledger: DataFrame) -> DataFrame:
     Types are sorted and joined by ``|``; ``rows`` counts this load's rows with
     the path. Loads follow each other by their first ``ingested_at``, then by
     id; the first has nothing to differ from. The window has a row per load.
+    The paths of all loads are written once: payloads are parsed once.
     """
     per_type = payload_paths(ledger)
     paths = per_type.groupBy("load_id", "path").agg(
-        F.array_join(F.array_sort(F.collect_set("type")), "|").alias("types"),  # at most eight types
+        F.array_join(F.array_sort(F.collect_set("type")), "|").alias("types"),  # at most nine types
         F.sum("rows").alias("rows"),
     )
+    paths = written(paths, "paths")
     loads = ledger.groupBy("load_id").agg(F.min("ingested_at").alias("first"))
     order = Window.orderBy(F.col("first").asc_nulls_first(), "load_id")
     loads = loads.select("load_id", F.lead("load_id").over(order).alias("after"), F.lag("load_id").over(order).alias("before"))
