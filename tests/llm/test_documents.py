@@ -1,6 +1,7 @@
 """Operators 7, 8 and 10, and the pipeline."""
 
 import html
+import math
 import re
 import zlib
 from collections import Counter
@@ -81,6 +82,44 @@ def test_main_text_in_a_frame_with_a_bad_cue(page):
     assert html_content.main_text(page) == (STORY * 3).strip()
 
 
+def labels(page):
+    """(start of the text, sign of the classifier's score, whether the cut keeps it) of each block."""
+    found = html_content.blocks(page)
+    gains = [html_content.score(b) for b in found]
+    return [(b.text.split()[0], g > 0, kept) for b, g, kept in zip(found, gains, html_content.source_side(gains, html_content.smoothness(found)))]
+
+
+@pytest.mark.parametrize(
+    "page, changed, left_out",
+    [
+        # no name of the lists occurs: headings and short lines go with the paragraphs around them
+        (f"<body><div class=kopf><a href=/>Links home</a></div><div class=inhalt><h2>Heading one</h2><p>{STORY}</p><p>Short line</p><p>{STORY}</p></div><div class=fuss>Company</div></body>", {"Heading", "Short"}, {"Links", "Company"}),
+        # a link line within the article, and a list of links within it, which belongs to the menus
+        (f"<body><article><p>{STORY}</p><p><a href=x>See also</a></p><p>{STORY}</p><ul><li><a href=x>Other story</a><li><a href=x>Other again</a></ul></article></body>", {"See"}, {"Other"}),
+        # a long paragraph of the article under a bad class name, a short advert, and a boxed one however long
+        (f"<body><article><p>{STORY}</p><p class=share-price>Shares {STORY * 6}</p><p>{STORY}</p><p class=ad>Buy this now.</p><p>{STORY}</p><div class=ad><p>Boxed {STORY * 90}</p></div><p>{STORY}</p></article></body>", {"Shares"}, {"Buy", "Boxed"}),
+    ],
+)
+def test_the_cut_changes_labels(page, changed, left_out):
+    got = labels(page)
+    assert {w for w, positive, kept in got if kept != positive} == changed
+    assert {w for w, _, kept in got if not kept} == left_out
+
+
+def test_a_lone_paragraph_between_links_stays():
+    page = f"<body><div><a href=/>Home</a></div><p>{STORY[:74]}And some more words to it.</p><div><a href=x>Next</a></div><p hidden>{STORY * 99}</p></body>"
+    assert html_content.main_text(page) == STORY[:74] + "And some more words to it."
+
+
+def test_weights_hold_their_inequalities():
+    c = html_content
+    longest = c.BASE + c.LONGEST + c.SENTENCE
+    assert -2 * c.SIBLING * c.OTHER_PLACE < longest + c.BAD_PLACE < -2 * c.SIBLING * c.STEP * c.OTHER_PLACE
+    assert c.BASE + c.LINKED + c.NO_SENTENCE < -c.GOOD_PLACE
+    assert c.BASE + c.NO_SENTENCE + c.PER_LENGTH * math.log2(1 + 6 / 20) > c.SIBLING * (c.STEP - 1)
+    assert c.BASE + c.SENTENCE + c.PER_LENGTH * math.log2(1 + 100 / 20) > 2 * c.SIBLING * (1 - c.CONTRAST)
+
+
 def test_whole_articles_of_the_test_data(spark):
     for p in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect():
         inside = re.search(r"<article>(.*?)</article>", p.html, re.S)[1]
