@@ -763,3 +763,36 @@ def q_linked_pages(spark, sf_dir):
     stale = stale.withColumn("body", F.lit('{"success": 1, "cursor": "c1", "reviews": [{"recommendationid": "stale"}]}'))
     admitted = CU.admit_linked(unnumbered.unionByName(stale))
     return PG.explode_reviews(admitted).select("app_id", "page", "pos", "cursor", "fetched_at", "payload")
+
+
+def _sketched(spark: SparkSession, sf_dir: str):
+    """Fixture L with defects in a stored ledger, and the sketches of its loads."""
+    from ..sources import distinct as DI
+
+    paths = _fresh_paths(spark)
+    sketches = f"{paths.ledger}_sketches"
+    ST.append_ledger(defects(spark, sf_dir), paths.ledger)
+    stored = ST.read_ledger(spark, paths.ledger)
+    DI.record_loads(stored, sketches)
+    return DI.read_sketches(spark, sketches), stored
+
+
+@register("dup_rate_sketched", ORACLE["dup_rate"])
+def q_dup_rate_sketched(spark, sf_dir):
+    """Duplicate rates of the loads from their stored sketches; loads too large for them are counted."""
+    from ..sources import distinct as DI
+
+    return round_doubles(DI.dup_rate(*_sketched(spark, sf_dir)))
+
+
+@register(
+    "repeated_ids",
+    _with(O.ledger_cte(), *_DEFECTS[:3])
+    + """select count(*)::bigint as failures from (
+    select recommendationid from silver_defects where recommendationid is not null group by 1 having count(*) > 1)""",
+)
+def q_repeated_ids(spark, sf_dir):
+    """The uniqueness check of silver over three loads, from their stored sketches; suspect buckets are counted."""
+    from ..sources import distinct as DI
+
+    return DI.repeated_ids(*_sketched(spark, sf_dir))
