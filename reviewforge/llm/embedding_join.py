@@ -4,7 +4,8 @@ Unit vectors have a cosine of at least ``c`` exactly if they are at most
 ``sqrt(2 - 2c)`` apart, and a projection on orthonormal directions brings no
 two of them further apart. So the vectors of a label are projected on leading
 principal directions, sorted by the grid cells (of that width) there, and cut
-into blocks: the epsilon grid order. Pairs of blocks whose boxes in the
+into blocks: the epsilon grid order. Blocks meet only in equal or adjacent
+cells; pairs of them whose boxes in the
 projection are too far apart are skipped; the others are joined recursively,
 halving both sequences and skipping halves in the same way, and leaves are
 compared by their cosines in double precision. The directions only steer what
@@ -37,6 +38,9 @@ from .common import components, python_ready, stored
 #: Vectors in a block and in a leaf; directions of the grid; vectors that the directions are fitted on, at most.
 BLOCK, LEAF, DIRECTIONS, SAMPLE = 512, 128, 4, 4096
 
+#: Directions by whose cells blocks meet, and the least width of these cells (a block lies in at most 12 of a direction).
+KEYED, COARSE = 3, 0.2
+
 BLOCKS = "label string, size int, block long, low array<double>, high array<double>, nodes binary, weights binary, vectors binary"
 
 
@@ -151,14 +155,36 @@ def forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return least
 
 
-def compare(blocks: DataFrame, cosine: float, directions: dict[int, np.ndarray]) -> DataFrame:
-    """(node, other, links): linked weight per node (``other`` null), and the links of a spanning forest (``links`` null)."""
+def block_pairs(blocks: DataFrame, cosine: float) -> DataFrame:
+    """(x, y): the pairs of blocks, each once, whose boxes are near enough for a link.
+
+    Blocks of a label meet by an equi-join on the grid cells of the first
+    directions: one side in each cell it lies in, the other also in the cells next
+    to these. Far parts of a label's sequence never meet. A pair that shares several
+    cells counts in the first.
+    """
     reach = 2 - 2 * cosine + 1e-9
-    names = blocks.select("label", "size", "block", "low", "high")
-    one, two = names.alias("p"), names.alias("q")
+    width = max(math.sqrt(reach) * (1 + 1e-9), COARSE)
+    directions = range(KEYED)
+
+    def celled(margin: int) -> DataFrame:
+        found = blocks.select("label", "size", "block", "low", "high")
+        for d in directions:
+            lowest, highest = (F.floor(F.coalesce(F.get(side, F.lit(d)), F.lit(0.0)) / width).cast("int") for side in ("low", "high"))
+            found = found.withColumn(f"from{d}", lowest - margin).withColumn(f"cell{d}", F.explode(F.sequence(lowest - margin, highest + margin)))
+        return found
+
+    one, two = celled(0).alias("p"), celled(1).alias("q")
+    equal = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("label", "size", *(f"cell{d}" for d in directions))]
+    first = [F.col(f"p.cell{d}") == F.greatest(f"p.from{d}", f"q.from{d}") for d in directions]
     gaps = F.zip_with(F.zip_with("p.low", "q.high", lambda a, b: a - b), F.zip_with("q.low", "p.high", lambda a, b: a - b), lambda a, b: F.greatest(a, b, F.lit(0.0)))
     near = F.aggregate(gaps, F.lit(0.0), lambda s, g: s + g * g) <= reach
-    pairs = one.join(two, (F.col("p.label") == F.col("q.label")) & (F.col("p.size") == F.col("q.size")) & (F.col("p.block") <= F.col("q.block")) & near).select(F.col("p.block").alias("x"), F.col("q.block").alias("y"))
+    return one.join(two, [*equal, *first, F.col("p.block") <= F.col("q.block"), near]).select(F.col("p.block").alias("x"), F.col("q.block").alias("y"))
+
+
+def compare(blocks: DataFrame, cosine: float, directions: dict[int, np.ndarray]) -> DataFrame:
+    """(node, other, links): linked weight per node (``other`` null), and the links of a spanning forest (``links`` null)."""
+    pairs = block_pairs(blocks, cosine)
     held = blocks.select("block", "size", F.struct("nodes", "weights", "vectors").alias("b"))
     met = pairs.join(held.select(F.col("block").alias("x"), "size", F.col("b").alias("bx")), "x").join(held.select(F.col("block").alias("y"), F.col("b").alias("by")), "y")
 

@@ -175,6 +175,23 @@ def test_grid_skips_only_distant_blocks():
         assert {(min(p), max(p)) if same else p for p in zip(a.tolist(), b.tolist())} == want
 
 
+@pytest.mark.parametrize("cosine, directions", [(0.93, 4), (0.8, 2), (0.999, 3), (0.93, 1)])
+def test_blocks_meet_by_cells_once_if_near(spark, cosine, directions):
+    r = np.random.default_rng(8)
+    low = np.clip(r.normal(scale=0.6, size=(120, directions)), -1, 1)
+    high = np.minimum(1, low + r.exponential(0.15, size=low.shape) * (r.random(low.shape) < 0.8))
+    kind = r.integers(0, 2, 120).tolist()
+    rows = [(str(kind[i]), 8 + i % 2, i, low[i].tolist(), high[i].tolist()) for i in range(120)]
+    blocks = spark.createDataFrame(rows, "label string, size int, block long, low array<double>, high array<double>")
+    gap = np.maximum(0, np.maximum(low[:, None] - high[None], low[None] - high[:, None]))
+    near = (gap**2).sum(axis=2) <= 2 - 2 * cosine + 1e-9
+    want = [(i, j) for i in range(120) for j in range(i, 120) if near[i, j] and rows[i][:2] == rows[j][:2]]
+    pairs = embedding_join.block_pairs(blocks, cosine)
+    assert sorted(map(tuple, pairs.collect())) == want and len(want) > 120
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Cartesian" not in plan and "cell0" in plan
+
+
 def test_suffix_array_by_groups():
     r = random.Random(3)
     for _ in range(1500):
