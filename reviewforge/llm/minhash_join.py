@@ -60,6 +60,8 @@ INDEX_LIMIT = 2 * (INDEXED // CHUNK) - 1
 BLOCK = 2048
 #: Shingles whose sets one task holds at once, twice, when pairs are confirmed; a larger set is taken by itself.
 HELD = 2_000_000
+#: Pairs that a row of them is cut at; each row brings its sets along once.
+PAIRS = 1_000_000
 
 _ROUND = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0xD6E8FEB86659FD93)]
 _FACTORS = np.random.default_rng(20).integers(1, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -230,7 +232,8 @@ def _block_pairs(labelled: DataFrame, nodes: DataFrame, percent: int) -> DataFra
     """(id, a, b): the pairs of different components that share an open bucket and have sets of like enough sizes, as lists.
 
     A bucket of n members has ceil(n / BLOCK) blocks; each pair of blocks is
-    compared by itself and gives a row, or several if its sets are large.
+    compared by itself and gives a row, or several if its sets are large or its
+    pairs many (a row ends with the node that reaches ``PAIRS``).
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     indexed = nodes.select("node", F.substring("sig", 1, 2 * INDEXED).alias("sig"), "n_shingles")
@@ -258,7 +261,7 @@ def _block_pairs(labelled: DataFrame, nodes: DataFrame, percent: int) -> DataFra
         for ones in tiles:
             ones = ones[~inner[ones]]
             for others in tiles:
-                a, b = [], []
+                a, b, listed = [], [], 0
                 for i in ones:
                     meets = (part[others] != part[i]) & (inner[others] | (place[others] > i)) & ((block[others] != block[i]) | (p == q))
                     near = others[meets & (100 * np.minimum(size[others], size[i]) >= percent * np.maximum(size[others], size[i]))]
@@ -266,6 +269,10 @@ def _block_pairs(labelled: DataFrame, nodes: DataFrame, percent: int) -> DataFra
                     if len(near):
                         a.append(np.full(len(near), node[i]))
                         b.append(node[near])
+                        listed += len(near)
+                    if listed >= PAIRS:
+                        yield np.concatenate(a), np.concatenate(b)
+                        a, b, listed = [], [], 0
                 if a:
                     yield np.concatenate(a), np.concatenate(b)
 

@@ -40,15 +40,32 @@ def test_minhash_join_finds_every_component(spark, monkeypatch):
     docs = near_copies()
     want, sizes = near_duplicate_components(docs)
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    for block, held in ((2048, 2_000_000), (3, 20)):
+    for block, held, pairs in ((2048, 2_000_000, 1_000_000), (3, 20, 1_000_000), (2048, 2_000_000, 2)):
         monkeypatch.setattr(minhash_join, "BLOCK", block)
         monkeypatch.setattr(minhash_join, "HELD", held)
+        monkeypatch.setattr(minhash_join, "PAIRS", pairs)
         got = {r.doc_id: r for r in minhash_join.near_duplicates(df).collect()}
         assert {i: r.component_id for i, r in got.items()} == want
         assert {i: r.n_shingles for i, r in got.items()} == sizes
         assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
 
 
+def test_rows_of_pairs_are_bounded(spark, monkeypatch):
+    # one bucket of different components: the same pairs, in one row or in rows cut at PAIRS
+    r = np.random.default_rng(3)
+    base = r.integers(0, 2**16, minhash_join.VALUES, dtype=np.uint64).astype("<u2")
+    key = int(minhash_join.keys(base[None, : minhash_join.INDEXED])[0, 0])
+    nodes = spark.createDataFrame([(n, base.tobytes(), 9) for n in range(40)], "node long, sig binary, n_shingles int")
+    labelled = spark.createDataFrame([(key, 40, n, n) for n in range(40)], "key long, size int, node long, part long")
+    found = {}
+    for most in (10**6, 100):
+        monkeypatch.setattr(minhash_join, "PAIRS", most)
+        found[most] = [(x.a, x.b) for x in minhash_join._block_pairs(labelled, nodes, 85).collect()]
+    assert len(found[10**6]) == 1 and max(len(a) for a, _ in found[100]) < 100 + 40
+    pairs = {most: sorted(p for a, b in rows for p in zip(a, b)) for most, rows in found.items()}
+    assert len(pairs[100]) == 40 * 39 // 2 and pairs[100] == pairs[10**6]
+
+
 def test_minhash_join_at_the_similarity_of_the_pipeline(spark):
     docs = near_copies()
     want, _ = near_duplicate_components(docs, 80)
