@@ -74,10 +74,10 @@ def tail_landing(
     With ``watermarks_path`` each micro-batch also records one watermark row
     per app it touched (same load id, same replay-safe partition write)."""
     checkpoint_location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/tail-landing"
-    reader = spark.readStream.schema(store.LANDING_SCHEMA).option("basePath", landing_path)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    landed = reader.text(landing_path).select(F.col("value").alias("payload"), "app_id")
+    landed = store.landed_rows(reader, landing_path).select("payload", "app_id")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         load_id = stream_load_id(batch_id)

@@ -61,10 +61,10 @@ def stream_watermarks(
     shuffle partitions at the first start is the state's for good.
     """
     checkpoint_location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/stream-watermarks"
-    reader = spark.readStream.schema(store.LANDING_SCHEMA).option("basePath", landing_path)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    landed = reader.text(landing_path).select(F.col("value").alias("payload"), "app_id", "load_id")
+    landed = store.landed_rows(reader, landing_path)
 
     def write_batch(changed: DataFrame, batch_id: int) -> None:
         recorded_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
