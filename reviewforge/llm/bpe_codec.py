@@ -18,7 +18,6 @@ Only the two named columns are read, whatever else there is.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import re
 import unicodedata
@@ -27,7 +26,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 
 from .bpe import WORD_PRETOKEN, Memo, byte_chars, library, merge, merge_table, pattern, unassigned, vocabulary
-from .common import map_batches
+from .common import map_batches, sole
 
 PIECES, WORDS, FRAGMENTS = 300_000, 500_000, 300_000
 
@@ -107,10 +106,9 @@ class Codec:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
-@functools.cache
 def codec(path: str) -> Codec:
     """One per Python worker process, so that its memos serve all tasks."""
-    return Codec(path)
+    return sole(Codec, path)
 
 
 def encode(docs: DataFrame, path: str | None = None, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:

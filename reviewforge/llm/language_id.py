@@ -31,7 +31,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from reviewforge.plans.joins import join_per_key
 
-from .common import python_ready
+from .common import forget, python_ready
 
 #: Families of the languages by ISO 639-1 code; a language that is not listed is a family of its own.
 FAMILIES = {
@@ -179,6 +179,7 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE, model: Model | N
     python_ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             found = [model.predict(t) for t in batch.column("text").to_pylist()]
             kept = batch.select([c for c in batch.schema.names if c != "text"])

@@ -40,7 +40,6 @@ columns are read.
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Iterator
 
@@ -51,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import Memo
-from .common import components, extended, nearest, python_ready, stored
+from .common import components, extended, nearest, python_ready, sole, stored
 
 SHINGLE = 5
 VALUES, INDEXED, CHUNK = 384, 50, 5
@@ -67,9 +66,8 @@ _ROUND = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x16566
 _FACTORS = np.random.default_rng(20).integers(1, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-@functools.cache
 def _words() -> Memo:
-    return Memo(xxhash.xxh3_64_intdigest, 500_000)
+    return sole(Memo, xxhash.xxh3_64_intdigest, 500_000)
 
 
 def shingles(text: str | None) -> np.ndarray:

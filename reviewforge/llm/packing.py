@@ -23,7 +23,6 @@ are read.
 from __future__ import annotations
 
 import bisect
-import functools
 import struct
 import zlib
 from collections import Counter
@@ -40,7 +39,7 @@ from reviewforge.plans.joins import join_per_key
 
 from .bpe import Memo, byte_chars, library
 from .bpe_codec import Codec
-from .common import python_ready, stored
+from .common import python_ready, sole, stored
 from .token_files import MARKS
 
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long, task int, rank long"
@@ -77,10 +76,9 @@ class Encoder(Codec):
         return b"".join(map(self.packed.__getitem__, text.split(" ")))
 
 
-@functools.cache
 def encoder(path: str) -> Encoder:
     """One per Python worker process, so that its memos serve all tasks."""
-    return Encoder(path)
+    return sole(Encoder, path)
 
 
 def pieces(docs: DataFrame, size: int, end_id: int, tokenizer: str, doc_col: str, text_col: str) -> DataFrame:

@@ -13,14 +13,13 @@ counted whole. Only the two named columns are read, whatever else there is.
 
 from __future__ import annotations
 
-import functools
 import re
 
 import public_tokenizers
 from pyspark.sql import DataFrame
 
 from .bpe import BYTE_PRETOKEN, Memo, byte_chars, library, merge, merge_table, pattern, unassigned, vocabulary
-from .common import map_batches
+from .common import map_batches, sole
 
 PIECES, PRETOKENS = 400_000, 800_000
 
@@ -79,10 +78,9 @@ class Counter:
         return sum(map(self.of_segment, segments)) + len(segments) - 1
 
 
-@functools.cache
 def counter(path: str) -> Counter:
     """One per Python worker process, so that its memo serves all tasks."""
-    return Counter(path)
+    return sole(Counter, path)
 
 
 def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 1024, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:

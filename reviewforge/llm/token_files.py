@@ -26,7 +26,6 @@ empty manifest. Only the two named columns are read.
 
 from __future__ import annotations
 
-import functools
 import struct
 import uuid
 import zlib
@@ -41,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import BYTE_PRETOKEN, Memo, blanks, byte_chars, library, pattern, unassigned, vocabulary
-from .common import python_ready, work_path
+from .common import python_ready, sole, work_path
 
 MAGIC = b"TOKPACK1"
 PIECES, PRETOKENS = 1_000_000, 200_000
@@ -184,10 +183,9 @@ class Encoder:
         return np.frombuffer(self.whole(text) if data is None else data, "<u4")
 
 
-@functools.cache
 def encoder(path: str) -> Encoder:
     """One per Python worker process, so that its memo serves all tasks."""
-    return Encoder(path)
+    return sole(Encoder, path)
 
 
 # -- writing and reading ----------------------------------------------------------------------

@@ -1,0 +1,33 @@
+"""What a Python worker keeps between tasks: the memos of one operator, not of all that ran in it."""
+
+import gc
+import weakref
+
+import public_tokenizers as public
+
+from reviewforge.llm import bpe_codec, minhash_join, packing, token_counts, token_files
+from reviewforge.llm.common import forget
+
+TEXT = "Words of a text, once more words."
+
+
+def test_another_operator_takes_the_place():
+    path = public.path("word_bpe_49k.json")
+    first = packing.encoder(path)
+    before = first(TEXT)
+    assert packing.encoder(path) is first  # its memo serves all tasks
+    gone = [weakref.ref(first), weakref.ref(first.packed)]
+    del first
+    minhash_join.shingles(TEXT)
+    gc.collect()
+    assert [g() for g in gone] == [None, None]
+    assert packing.encoder(path)(TEXT) == before
+
+
+def test_every_memo_is_dropped():
+    byte, word = public.path("byte_bpe_50k.json"), public.path("word_bpe_49k.json")
+    for make, path in ((token_counts.counter, byte), (bpe_codec.codec, word), (token_files.encoder, byte), (packing.encoder, word)):
+        gone = weakref.ref(make(path))
+        forget()
+        gc.collect()
+        assert gone() is None, make
