@@ -3,13 +3,13 @@
 A text's tokens under A and B are byte ranges of one string. Where both end, the
 tokens fall into groups; an A token and a B token are linked where their ranges
 overlap. Every end of a token of either kind closes exactly one such overlap, so
-the links are the full outer join of the two lists of ends.
+the links are the union of the two lists of ends, both of which are sorted.
 
 Each slice of a batch is a few Arrow calls over all its documents: the lists of
 ids are flattened with their parent indices, lengths of the tokens are summed up
-within each document, an Acero hash join on (document, end) finds the ends that
-A and B share and those that they don't, and filling backwards gives each end the
-token that it lies in. Ids of a link are one number, ``a << 32 | b``.
+within each document, merging the ends of A and of B finds those that they share
+and those that they don't, and a search gives each end the token that it lies in.
+Ids of a link are one number, ``a << 32 | b``.
 
 A bundle is some megabytes of documents of one task. Its links, written with the
 documents, are counted by ``Table.group_by``; Spark adds the bundles' counts up,
@@ -25,7 +25,6 @@ length are taken whole. Only the two named columns are read.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -38,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import byte_chars, vocabulary
-from .common import python_ready, stored
+from .common import python_ready, sole, stored
 from .token_files import Encoder
 
 #: Bytes of text that are aligned at once, and that make a bundle.
@@ -95,10 +94,13 @@ class Piecewise:
         return self.lib.encode(texts, num_threads=1)
 
 
-@functools.cache
+def _pair(a: str, b: str) -> tuple[Bytewise, Piecewise]:
+    return Bytewise(a), Piecewise(b)
+
+
 def tokenizers(a: str, b: str) -> tuple[Bytewise, Piecewise]:
     """One pair per Python worker process."""
-    return Bytewise(a), Piecewise(b)
+    return sole(_pair, a, b)
 
 
 # -- one slice --------------------------------------------------------------------------------
@@ -128,21 +130,19 @@ def aligned(a: pa.ListArray, b: pa.ListArray, spell_a: pa.Array, spell_b: pa.Arr
     none = pa.array(np.zeros(n, np.int64))
     key_a, ids_a = _ends(a, spell_a)
     key_b, ids_b = _ends(b, spell_b)
-    place = lambda ids: pa.array(np.arange(len(ids)))
-    one = lambda column: column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    left, right = pa.table({"key": key_a, "a": place(ids_a)}), pa.table({"key": key_b, "b": place(ids_b)})
-    both = left.join(right, "key", join_type="full outer", use_threads=False).combine_chunks()
-    both = both.take(pc.array_sort_indices(one(both["key"]))).combine_chunks()
-    shared = both.filter(pc.and_(pc.is_valid(both["a"]), pc.is_valid(both["b"]))).combine_chunks()
+    ends_a, ends_b = key_a.to_numpy(), key_b.to_numpy()
+    both = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")  # two sorted runs: merged
+    both = both[np.concatenate([[True], both[1:] != both[:-1]])] if len(both) else both
     # An end that only one side has lies in the other side's next token; a document ends on both sides.
-    in_a, in_b = one(pc.fill_null_backward(both["a"])), one(pc.fill_null_backward(both["b"]))
-    pair = pc.add(pc.shift_left(ids_a.take(in_a).cast(pa.int64()), 32), ids_b.take(in_b).cast(pa.int64()))
+    in_a, in_b = np.searchsorted(ends_a, both), np.searchsorted(ends_b, both)
+    shared = (ends_a[in_a] == both) & (ends_b[in_b] == both)
+    pair = pa.array(ids_a.to_numpy()[in_a].astype(np.int64) << 32 | ids_b.to_numpy()[in_b])
 
-    def per_doc(keys: pa.Array) -> np.ndarray:
-        return np.bincount(keys.to_numpy() >> 32, minlength=n)
+    def per_doc(keys: np.ndarray) -> np.ndarray:
+        return np.bincount(keys >> 32, minlength=n)
 
-    links, groups = per_doc(one(both["key"])), per_doc(one(shared["key"]))
-    texts = pc.binary_join_element_wise(_grouped(ids_a, one(shared["a"])), _grouped(ids_b, one(shared["b"])), "|")
+    links, groups = per_doc(both), per_doc(both[shared])
+    texts = pc.binary_join_element_wise(_grouped(ids_a, pa.array(in_a[shared])), _grouped(ids_b, pa.array(in_b[shared])), "|")
     lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(groups)]), pa.int32()), texts)
     digests = [hashlib.sha256(t).hexdigest() if t else "" for t in pc.binary_join(lists, ";").cast(pa.binary()).to_pylist()]
     return {

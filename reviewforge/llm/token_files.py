@@ -146,6 +146,7 @@ class Encoder:
         self.special = list(vocabulary(path)["added"])
         self.model = self.lib.model
         self.chars = dict(enumerate(byte_chars()))
+        self.space = self.chars[0x20]
         self.pretokens = Memo(self.of_pretoken, PRETOKENS)
         self.pieces = Memo(self.of_piece, PIECES)
 
@@ -162,6 +163,9 @@ class Encoder:
         if not piece or piece[0] in self.blank or piece[-1] in self.blank:
             return None
         if piece.isalpha():  # a space and letters are one pre-token
+            if piece.isascii():  # each is the character of its byte
+                ids = [t.id for t in self.model.tokenize(self.space + piece)]
+                return struct.pack(f"<{len(ids)}I", *ids)
             return self.of_pretoken(" " + piece)
         if piece[-1] in MARKS and piece[:-1].isalpha():
             return self.pieces[piece[:-1]] + self.pretokens[piece[-1]]

@@ -98,3 +98,12 @@ def test_many_slices_and_one_long_text(spark, libraries, monkeypatch):
     for c, k in (("n_a", 0), ("n_b", 1), ("n_groups", 2), ("n_links", 3), ("groups_sha256", 6)):
         assert got[c].to_pylist() == [w[k] for w in want]
     assert [s[:2] for s in align._slices(texts)] == [(0, 1), (1, 5), (5, 6)]
+
+
+def test_ends_are_merged_without_a_join(libraries, monkeypatch):
+    monkeypatch.setattr(align.pa, "table", None)
+    texts = ["one two", None, "naïve café", "", "one two"]
+    found = align.align_texts(texts, public.path("byte_bpe_50k.json"), public.path("piece_bpe_32k.model"))
+    assert found["n_a"].to_pylist() == [len(libraries[0].encode(" " + x, add_special_tokens=False).ids) if x else 0 for x in texts]
+    assert found["n_links"].to_pylist()[1::2] == [0, 0] and len(found["pairs"][0]) == found["n_links"][0].as_py() > 0
+    assert found["pairs"][0] == found["pairs"][4]
