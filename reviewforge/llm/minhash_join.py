@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import Memo
-from .common import components, extended, nearest, python_ready, sole, stored
+from .common import components, extended, forget, nearest, python_ready, sole, stored
 
 SHINGLE = 5
 VALUES, INDEXED, CHUNK = 384, 50, 5
@@ -147,6 +147,7 @@ def _members(nodes: DataFrame) -> DataFrame:
     """(key, node) of the buckets with several nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             if batch.num_rows:
                 found = keys(_matrix(batch.column(1)))
@@ -162,6 +163,7 @@ def _close(pairs: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
     """The pairs whose whole signatures differ in at most ``most`` values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             if batch.num_rows:
                 near = (_matrix(batch.column(2)) != _matrix(batch.column(3))).sum(axis=1) <= most
@@ -183,6 +185,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs with 100 * intersection >= percent * union on the full sets, written out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             links = [(a, b) for a, b, x, y in zip(*(batch.column(k).to_pylist() for k in range(4))) if similar(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), percent)]
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
@@ -275,6 +278,7 @@ def _block_pairs(labelled: DataFrame, nodes: DataFrame, percent: int) -> DataFra
                     yield np.concatenate(a), np.concatenate(b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         group: list[tuple] = []
 
         def rows_of(group):
@@ -326,6 +330,7 @@ def _confirmed_lists(lists: DataFrame, sets: DataFrame, percent: int) -> DataFra
     lists = stored(lists, "candidates")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         pairs, held = None, {}
 
         def links():

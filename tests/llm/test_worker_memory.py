@@ -5,7 +5,7 @@ import weakref
 
 import public_tokenizers as public
 
-from reviewforge.llm import bpe_codec, minhash_join, packing, token_counts, token_files
+from reviewforge.llm import bpe_codec, minhash_join, packing, suffix_dedup, token_counts, token_files
 from reviewforge.llm.common import forget
 
 TEXT = "Words of a text, once more words."
@@ -31,3 +31,37 @@ def test_every_memo_is_dropped():
         forget()
         gc.collect()
         assert gone() is None, make
+
+
+def stages(monkeypatch, module) -> list:
+    """Gathers the functions that Python workers run for ``module``."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    found, mapped = [], DataFrame.mapInArrow
+
+    def gather(self, fn, *args, **named):
+        found.extend([fn] * (fn.__module__ == module.__name__))
+        return mapped(self, fn, *args, **named)
+
+    monkeypatch.setattr(DataFrame, "mapInArrow", gather)
+    return found
+
+
+def test_a_stage_without_memos_drops_those_of_another_operator(spark, monkeypatch):
+    # Workers take turns: one may run a later stage of an operator without having run its first.
+    monkeypatch.setattr(suffix_dedup, "GROUP", 3)
+    text = " ".join(f"w{k}" for k in range(200))
+    docs = spark.createDataFrame([(i, text[i * 9 :] + " x" * i) for i in range(9)], "doc_id long, text string")
+    found = stages(monkeypatch, suffix_dedup)
+    suffix_dedup.remove_repeats(docs).collect()
+    close = stages(monkeypatch, minhash_join)
+    minhash_join.near_duplicates(docs).collect()
+    names = {fn.__qualname__.split(".")[0] for fn in found + close}
+    assert {"find_anchors", "remove_repeats", "_bytes_of", "_compare", "_cut", "_members", "_close", "_confirmed", "_block_pairs", "_confirmed_lists"} <= names
+    for fn in found + close:
+        if fn.__qualname__.split(".")[0] in ("describe", "_sets"):  # these use memos, which takes the place
+            continue
+        gone = weakref.ref(packing.encoder(public.path("word_bpe_49k.json")))
+        list(fn(iter([])))
+        gc.collect()
+        assert gone() is None, fn.__qualname__
