@@ -67,3 +67,22 @@ def test_a_first_batch_may_repeat_keys(spark, scratch):
     base = os.path.join(scratch, "silver")
     B.merge_buckets(enrich.enrich(raw), base, "v1", buckets=4)
     _equal(B.read_buckets(spark, base), enrich.enrich(C.compact_latest(raw)))
+
+
+def test_a_refresh_follows_batches_that_are_dealt_once(spark, scratch, monkeypatch):
+    from reviewforge.operators.metrics import adaptive_metrics
+    from reviewforge.plans import queries as Q
+    from reviewforge.plans import refresh as R
+
+    raw, loads = _loads(spark)
+    silver, gold, targets, write = os.path.join(scratch, "silver"), os.path.join(scratch, "gold"), [], B._write_buckets
+    monkeypatch.setattr(B, "_write_buckets", lambda rows, path: (targets.append(path[len(silver):]), write(rows, path)))
+    before = _shuffle_files(spark)
+    for version, batch in zip(("v1", "v2"), loads):
+        B.merge_buckets(batch, silver, version, bucket_by=R.APP_BUCKETS)
+        done = R.refresh_gold(spark, silver, gold, version, Q.BASE_PARAMS)
+    assert targets == ["/data/v=v1", "/batch/v=v2", "/data/v=v2"]
+    # what is left are shuffles of counts and sizes
+    assert sum(os.path.getsize(f) for f in _shuffle_files(spark) - before) < 100_000
+    whole = adaptive_metrics(enrich.enrich(C.compact_latest(raw)), Q.BASE_PARAMS)
+    _equal(Q.round_doubles(done.gold), Q.round_doubles(whole.select(*done.gold.columns)))
