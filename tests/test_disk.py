@@ -86,3 +86,31 @@ def test_a_refresh_follows_batches_that_are_dealt_once(spark, scratch, monkeypat
     assert sum(os.path.getsize(f) for f in _shuffle_files(spark) - before) < 100_000
     whole = adaptive_metrics(enrich.enrich(C.compact_latest(raw)), Q.BASE_PARAMS)
     _equal(Q.round_doubles(done.gold), Q.round_doubles(whole.select(*done.gold.columns)))
+
+
+def _watch_tables(monkeypatch):
+    """(name, rows) of the tables that compaction writes."""
+    tables, write = [], C.written
+
+    def watched(df, name):
+        tables.append((name, write(df, name)))
+        return tables[-1][1]
+
+    monkeypatch.setattr(C, "written", watched)
+    return tables
+
+
+@pytest.mark.parametrize("limit", [C.BROADCAST_BYTE_LIMIT, 900, 16, 0])
+def test_only_versions_of_repeated_keys_are_written(spark, monkeypatch, limit):
+    raw = fixtures.ledger_with_defects(fixtures.review_ledger(spark, SF_SMALL))
+    want, rows = C.version_history(raw), raw.count()
+    tables = _watch_tables(monkeypatch)
+    _equal(C.compact_derived(raw, C.VERSION_KEY, limit), want)
+    stored = [t.count() for name, t in tables if name == "ledger"][0]
+    several = raw.groupBy(*C.VERSION_KEY).count().filter("count > 1").agg(F.sum("count")).first()[0]
+    assert several <= stored and (stored < rows / 2 if limit == C.BROADCAST_BYTE_LIMIT else stored <= rows)
+
+
+def test_defects_come_from_one_pass(spark):
+    plan = fixtures.ledger_with_defects(fixtures.review_ledger(spark, SF_SMALL))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation ") == 2  # one scan a load
