@@ -114,3 +114,15 @@ def test_only_versions_of_repeated_keys_are_written(spark, monkeypatch, limit):
 def test_defects_come_from_one_pass(spark):
     plan = fixtures.ledger_with_defects(fixtures.review_ledger(spark, SF_SMALL))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation ") == 2  # one scan a load
+
+
+def test_rows_with_one_version_are_not_written(spark, monkeypatch):
+    raw = fixtures.review_ledger(spark, SF_SMALL)
+    first = raw.filter(F.col("load_id") == "L1")
+    want, latest = C.compact_latest(first), C.compact_latest(raw)
+    tables = _watch_tables(monkeypatch)
+    _equal(C.compact_derived(first), want)
+    assert sum(t.count() for name, t in tables if name == "ledger") < 20  # one key occurs twice in this table
+    tables.clear()
+    _equal(C.compact_derived(raw), latest)
+    assert sum(t.count() for name, t in tables if name == "ledger") < 0.6 * raw.count()  # 44 % have another version
