@@ -126,3 +126,12 @@ def test_rows_with_one_version_are_not_written(spark, monkeypatch):
     tables.clear()
     _equal(C.compact_derived(raw), latest)
     assert sum(t.count() for name, t in tables if name == "ledger") < 0.6 * raw.count()  # 44 % have another version
+
+
+def test_the_upsert_of_two_loads_stores_no_ledger(spark, monkeypatch):
+    from reviewforge.plans import queries as Q
+
+    tables = _watch_tables(monkeypatch)
+    got = Q.QUERIES["incremental_upsert"](spark, SF_SMALL)
+    assert sum(t.count() for name, t in tables if name == "ledger") < 20
+    _equal(got, Q.round_doubles(enrich.enrich(C.compact_latest(fixtures.review_ledger(spark, SF_SMALL)))))
