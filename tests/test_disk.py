@@ -135,3 +135,12 @@ def test_the_upsert_of_two_loads_stores_no_ledger(spark, monkeypatch):
     got = Q.QUERIES["incremental_upsert"](spark, SF_SMALL)
     assert sum(t.count() for name, t in tables if name == "ledger") < 20
     _equal(got, Q.round_doubles(enrich.enrich(C.compact_latest(fixtures.review_ledger(spark, SF_SMALL)))))
+
+
+def test_checks_leave_no_shuffles_of_rows(spark):
+    from reviewforge.plans import queries as Q
+
+    before = _shuffle_files(spark)
+    failures = {(r.model, r.column_name): r.failures for r in Q.QUERIES["dq_not_null"](spark, SF_SMALL).collect()}
+    assert len(failures) == 9 and failures["steam_reviews_raw", "recommendationid"] > 0
+    assert sum(os.path.getsize(f) for f in _shuffle_files(spark) - before) < 100_000
